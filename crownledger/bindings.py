@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
-from crownledger.operators import adjudication, gold, joins, silver
+from crownledger.operators import adjudication, documents, gold, joins, silver
 from crownledger.schemas import TABLES
 
 AS_OF = date(1999, 1, 1)
@@ -474,3 +474,39 @@ class Lake:
             .join(years, ["patient_id", "benefit_year"], "left")
             .withColumns({c: F.coalesce(c, F.lit(False)) for c in ("needs_auth", "is_exhausted")})
         )
+
+    # --- documents ---------------------------------------------------------------------------
+
+    def pages(self) -> DataFrame:
+        return self.raw("pages").select(
+            F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("doc_uri"), "url", "html"
+        )
+
+    def elements(self) -> DataFrame:
+        """Elements of all web pages."""
+        return documents.flatten(documents.parse_documents(self.pages()))
+
+    def texts(self) -> DataFrame:
+        """Plain documents as one element each: they have no headings and no pages."""
+        return self.raw("documents").select(
+            F.concat_ws("/", F.lit("documents"), "source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias(
+                "doc_uri"
+            ),
+            F.lit(0).alias("element_id"),
+            F.lit(0).alias("page"),
+            F.lit("paragraph").alias("type"),
+            F.col("text").alias("content"),
+        )
+
+    def chunks(self) -> DataFrame:
+        return documents.chunk_table(self.texts())
+
+    def questions(self) -> DataFrame:
+        """Reference passages, used as search questions."""
+        return self.raw("benchmark").select(F.col("item_id").alias("question"), "text")
+
+    def vector_questions(self) -> DataFrame:
+        """One query vector per label: the mean of its vectors."""
+        from crownledger.operators.retrieval import centroids
+
+        return centroids(self.raw("embeddings").withColumn("question", F.col("label").cast("bigint")), "question")

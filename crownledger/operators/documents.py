@@ -1,0 +1,216 @@
+"""Documents: HTML pages to elements, elements to chunks, chunks to an index that is kept in step."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from crownledger.functions import exprs as X
+
+CHUNK_COLUMNS = ["chunk_id", "doc_uri", "page", "chunk_position", "content", "chunk_to_embed", "chunk_method"]
+
+# Patterns of the elements that are read from a page, and of what is dropped before.
+DROPPED = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+ELEMENT = r"(?is)<(?:title|h[1-6]|p|li)(?:\s[^>]*)?>.*?</(?:title|h[1-6]|p|li)>"
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+
+# Every character that counts as white space, up to the ideographic blank: stripped from the ends of a chunk.
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+# --- parsing ---------------------------------------------------------------------------------
+
+
+def plain_text(html: Column) -> Column:
+    """Text of an HTML fragment: tags to blanks, common entities decoded, white space collapsed."""
+    out = F.regexp_replace(html, r"<[^>]+>", " ")
+    for entity, char in ENTITIES:
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.trim(F.regexp_replace(out, r"\s+", " "))
+
+
+def _element(raw: Column, index: Column) -> Column:
+    tag = F.lower(F.regexp_extract(raw, r"^<([a-zA-Z0-9]+)", 1))
+    kind = (
+        F.when(tag == "title", "title").when(tag == "p", "paragraph").when(tag == "li", "list_item").otherwise("heading")
+    )
+    content = plain_text(raw)
+    return F.struct(
+        index.cast("int").alias("id"),
+        F.lit(0).alias("page_id"),
+        kind.alias("type"),
+        F.when(content != "", content).alias("content"),
+    )
+
+
+def html_elements(html: Column) -> Column:
+    """Title, headings, paragraphs and list items of a page, in page order; no shuffle, no UDF."""
+    kept = F.regexp_replace(F.coalesce(html, F.lit("")), DROPPED, "")
+    return F.transform(F.regexp_extract_all(kept, F.lit(ELEMENT), F.lit(0)), _element)
+
+
+def parse_documents(pages: DataFrame, uri: str = "doc_uri", html: str = "html") -> DataFrame:
+    """One VARIANT per document with pages, elements and an error status."""
+    blank = F.col(html).isNull() | (F.trim(html) == "")
+    parsed = F.struct(
+        F.struct(
+            F.array(F.struct(F.lit(0).alias("id"))).alias("pages"), html_elements(F.col(html)).alias("elements")
+        ).alias("document"),
+        F.when(blank, "EMPTY_DOCUMENT").alias("error_status"),
+    )
+    return pages.select(F.col(uri).alias("doc_uri"), F.to_variant_object(parsed).alias("parsed"))
+
+
+def flatten(parsed: DataFrame) -> DataFrame:
+    """One row per element; failed documents and elements without text are dropped."""
+    ok = parsed.filter(F.variant_get("parsed", "$.error_status", "string").isNull())
+    items = ok.select(
+        "doc_uri", F.explode(F.variant_get("parsed", "$.document.elements", "array<variant>")).alias("el")
+    )
+    return items.select(
+        "doc_uri",
+        F.variant_get("el", "$.id", "int").alias("element_id"),
+        F.variant_get("el", "$.page_id", "int").alias("page"),
+        F.variant_get("el", "$.type", "string").alias("type"),
+        F.variant_get("el", "$.content", "string").alias("content"),
+    ).filter(F.col("content").isNotNull())
+
+
+def parse_stats(elements: DataFrame, docs: DataFrame) -> DataFrame:
+    """Documents, elements, characters, and documents without any element, as one row."""
+    both = elements.select("doc_uri", F.length("content").cast("bigint").alias("chars"), F.lit(1).alias("n")).unionByName(
+        docs.select("doc_uri", F.lit(0).cast("bigint").alias("chars"), F.lit(0).alias("n"))
+    )
+    per_doc = both.groupBy("doc_uri").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+    return per_doc.agg(
+        F.count_if(F.col("n") > 0).alias("documents_parsed"),
+        F.sum("n").alias("page_elements"),
+        F.sum("chars").alias("total_characters"),
+        F.count_if(F.col("n") == 0).alias("documents_without_elements"),
+    )
+
+
+# --- chunking --------------------------------------------------------------------------------
+
+
+def chunk_fixed(text: str | Column, size: int = 1000, overlap: int = 150) -> Column:
+    """Windows of ``size`` characters that overlap, stripped, empty ones dropped, up to the end of the text."""
+    text = X.as_column(text)
+    step = size - overlap
+    last = F.greatest(F.ceil((F.length(text) - size) / F.lit(step)), F.lit(0)).cast("int")
+    pieces = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.btrim(F.substring(text, i * step + 1, F.lit(size)), F.lit(SPACES))
+    )
+    return F.when(F.length(text) > 0, F.filter(pieces, lambda p: p != "")).otherwise(F.array().cast("array<string>"))
+
+
+def chunk_table(elements: DataFrame, size: int = 1000, overlap: int = 150, key: tuple[str, ...] = ()) -> DataFrame:
+    """Fixed-window chunks with a stable id over document, page and position.
+
+    ``key`` names further columns for the id where a page has more than one element.
+    """
+    exploded = elements.select(
+        "doc_uri", "page", *key, F.posexplode(chunk_fixed("content", size, overlap)).alias("chunk_position", "content")
+    )
+    return exploded.select(
+        X.stable_key("doc_uri", "page", *key, "chunk_position").alias("chunk_id"),
+        "doc_uri",
+        "page",
+        "chunk_position",
+        "content",
+        F.col("content").alias("chunk_to_embed"),
+        F.lit("fixed_window").alias("chunk_method"),
+    )
+
+
+def chunk_semantic(elements: DataFrame, max_chars: int = 3000) -> DataFrame:
+    """Chunks that start at headings and are closed after ``max_chars`` characters of a section.
+
+    A section runs from a heading to the next one. Inside it, elements share a chunk while their
+    start offset lies in the same ``max_chars`` slice, so no chunk exceeds the limit by more than one
+    element and the text collected per chunk is bounded. All elements of a document come from one
+    source row, which bounds the window. A chunk may span pages and cites the first one.
+    """
+    in_doc = Window.partitionBy("doc_uri").orderBy("element_id").rowsBetween(Window.unboundedPreceding, 0)
+    heading = (F.col("type") == "heading").cast("int")
+    body = elements.filter(F.col("type") != "title").withColumn("section", F.sum(heading).over(in_doc))
+    in_section = (
+        Window.partitionBy("doc_uri", "section").orderBy("element_id").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offset = F.coalesce(F.sum(F.length("content")).over(in_section), F.lit(0))
+    sliced = body.withColumn("slice", F.floor(offset / F.lit(max_chars)))
+    whole_section = Window.partitionBy("doc_uri", "section")
+    named = sliced.withColumn("header", F.max(F.when(F.col("type") == "heading", F.col("content"))).over(whole_section))
+    chunks = named.groupBy("doc_uri", "section", "slice").agg(
+        F.min("page").alias("page"),
+        F.max("header").alias("header"),
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("element_id", "content"))), lambda e: e["content"]), " "
+        ).alias("content"),
+    )
+    position = Window.partitionBy("doc_uri").orderBy("section", "slice")
+    placed = chunks.withColumn("chunk_position", F.row_number().over(position) - 1)
+    return placed.select(
+        X.stable_key("doc_uri", "page", "chunk_position").alias("chunk_id"),
+        "doc_uri",
+        "page",
+        "chunk_position",
+        "content",
+        "header",
+        F.lit("semantic").alias("chunk_method"),
+    )
+
+
+def enrich(chunks: DataFrame, titles: DataFrame) -> DataFrame:
+    """Adds the text to embed: title, section header and page in front of the chunk; the content stays clean."""
+    context = F.concat_ws(
+        "\n", "title", "header", F.concat(F.lit("Page "), F.col("page").cast("string")), "content"
+    )
+    return (
+        chunks.join(titles, "doc_uri", "left").withColumn("chunk_to_embed", context).select(*CHUNK_COLUMNS)
+    )
+
+
+def document_titles(elements: DataFrame) -> DataFrame:
+    """Title per document; the first one where a page carries several."""
+    titles = elements.filter(F.col("type") == "title")
+    return titles.groupBy("doc_uri").agg(F.min_by("content", "element_id").alias("title"))
+
+
+def chunk(elements: DataFrame, max_chars: int = 3000, size: int = 1000, overlap: int = 150) -> DataFrame:
+    """Semantic chunks for documents with headings, fixed windows for the others; one schema."""
+    per_doc = Window.partitionBy("doc_uri")
+    flagged = elements.withColumn("_headed", F.max(F.col("type") == "heading").over(per_doc))
+    headed, plain = flagged.filter("_headed").drop("_headed"), flagged.filter("not _headed").drop("_headed")
+    semantic = enrich(chunk_semantic(headed, max_chars), document_titles(headed))
+    return semantic.unionByName(chunk_table(plain, size, overlap, ("element_id",)))
+
+
+def chunk_stats(chunks: DataFrame) -> DataFrame:
+    return chunks.groupBy("chunk_method").agg(
+        F.count(F.lit(1)).alias("total_chunks"),
+        F.countDistinct("chunk_id").alias("distinct_ids"),
+        (F.count(F.lit(1)) - F.countDistinct("chunk_id")).alias("duplicate_ids"),
+        F.countDistinct("doc_uri").alias("documents"),
+        F.round(F.avg(F.length("content"))).alias("avg_retrieved_chars"),
+        F.round(F.avg(F.length("chunk_to_embed"))).alias("avg_embedded_chars"),
+    )
+
+
+# --- incremental index -----------------------------------------------------------------------
+
+
+def content_hash(df: DataFrame, key: str, *content: str) -> DataFrame:
+    return df.select(key, F.sha2(F.concat_ws("\u0001", *content), 256).alias("content_hash"))
+
+
+def diff(old: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """Keys to insert, update and delete so that ``old`` becomes ``new``; unchanged keys are left out.
+
+    Both sides carry ``content_hash``, so only keys and hashes are shuffled, never texts.
+    """
+    o = old.select(F.col(key), F.col("content_hash").alias("_old"))
+    n = new.select(F.col(key), F.col("content_hash").alias("_new"))
+    joined = o.join(n, key, "full")
+    op = F.when(F.col("_old").isNull(), "I").when(F.col("_new").isNull(), "D").when(F.col("_old") != F.col("_new"), "U")
+    return joined.select(key, op.alias("op")).filter(F.col("op").isNotNull())

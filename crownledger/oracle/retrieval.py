@@ -1 +1,165 @@
-SQL: dict[str, str] = {}
+"""SQL for the queries of ``plans.retrieval``."""
+
+from crownledger.operators.documents import SPACES
+
+_DROP = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+_ELEMENT = r"(?is)<(?:title|h[1-6]|p|li)(?:\s[^>]*)?>.*?</(?:title|h[1-6]|p|li)>"
+
+
+def _plain(expr: str) -> str:
+    out = f"regexp_replace({expr}, '<[^>]+>', ' ', 'g')"
+    for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
+        out = f"replace({out}, '{entity}', '{char}')"
+    return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
+
+
+_SPACES = " || ".join(f"chr({ord(c)})" for c in SPACES)
+
+
+def _chunks(source: str) -> str:
+    """Fixed windows of rows (doc_uri, page, element_id, content, extra id part)."""
+    return f"""
+        SELECT doc_uri, page, element_id, row_number() OVER (PARTITION BY doc_uri, page, element_id ORDER BY i) - 1 AS pos, piece FROM (
+            SELECT doc_uri, page, element_id, i, trim(substring(content, cast(i * 850 + 1 AS bigint), 1000), {_SPACES}) AS piece
+            FROM (SELECT *, unnest(generate_series(0, cast(greatest(ceil((length(content) - 1000) / 850.0), 0) AS bigint))) AS i
+                  FROM {source} WHERE length(content) > 0)) WHERE piece <> ''"""
+
+
+_ELEMENTS = rf"""
+    SELECT doc_uri, cast(id AS bigint) AS element_id, 0::bigint AS page,
+           CASE tag WHEN 'title' THEN 'title' WHEN 'p' THEN 'paragraph' WHEN 'li' THEN 'list_item' ELSE 'heading' END AS type, content
+    FROM (SELECT doc_uri, id, lower(regexp_extract(raw, '^<([a-zA-Z0-9]+)', 1)) AS tag, {_plain("raw")} AS content
+          FROM (SELECT doc_uri, unnest(els) AS raw, generate_subscripts(els, 1) - 1 AS id
+                FROM (SELECT concat('pages/', page_id, '.html') AS doc_uri,
+                             regexp_extract_all(regexp_replace(html, '{_DROP}', '', 'g'), '{_ELEMENT}') AS els FROM pages)))
+    WHERE content <> ''"""
+
+_TEXTS = """SELECT concat_ws('/', 'documents', source, concat(doc_id, '.txt')) AS doc_uri, 0::bigint AS element_id, 0::bigint AS page,
+                   'paragraph' AS type, text AS content FROM documents"""
+
+_SEMANTIC_PARTS = """
+    r_body AS (SELECT *, sum(CASE WHEN type = 'heading' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_uri ORDER BY element_id) AS section
+               FROM {src} WHERE type <> 'title'),
+    r_sliced AS (SELECT *, floor(coalesce(sum(length(content)) OVER (PARTITION BY doc_uri, section ORDER BY element_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / {size}) AS slice,
+                        max(CASE WHEN type = 'heading' THEN content END) OVER (PARTITION BY doc_uri, section) AS header FROM r_body),
+    r_semantic AS (SELECT doc_uri, min(page) AS page, row_number() OVER (PARTITION BY doc_uri ORDER BY section, slice) - 1 AS chunk_position,
+                          string_agg(content, ' ' ORDER BY element_id) AS content, max(header) AS header
+                   FROM r_sliced GROUP BY doc_uri, section, slice)"""
+
+_TITLES = "SELECT doc_uri, min_by(content, element_id) AS title FROM r_elements WHERE type = 'title' GROUP BY 1"
+
+_ENRICHED = """
+    SELECT sha256(concat_ws('::', s.doc_uri, s.page, s.chunk_position)) AS chunk_id, s.doc_uri, s.page, s.chunk_position, s.content,
+           concat_ws(chr(10), t.title, s.header, concat('Page ', s.page), s.content) AS chunk_to_embed, 'semantic' AS chunk_method
+    FROM r_semantic s LEFT JOIN r_titles t ON t.doc_uri = s.doc_uri"""
+
+
+def _semantic(final: str, size: int = 3000, src: str = "r_elements") -> str:
+    return (
+        f"WITH r_elements AS ({_ELEMENTS}), {_SEMANTIC_PARTS.format(src=src, size=size)}, r_titles AS ({_TITLES}) {final}"
+    )
+
+
+_FIXED = """SELECT sha256(concat_ws('::', doc_uri, page, pos)) AS chunk_id, doc_uri, page, pos AS chunk_position, piece AS content,
+                   piece AS chunk_to_embed, 'fixed_window' AS chunk_method FROM ({chunks})"""
+
+_CHUNKS = f"r_texts AS ({_TEXTS}), r_chunks AS ({_FIXED.format(chunks=_chunks('r_texts'))})"
+
+# All pages have a heading and no plain text has one, so each side takes its own method.
+_MIXED = f"""{_ENRICHED} UNION ALL
+    SELECT sha256(concat_ws('::', doc_uri, page, element_id, pos)) AS chunk_id, doc_uri, page, pos AS chunk_position, piece AS content,
+           piece AS chunk_to_embed, 'fixed_window' AS chunk_method FROM ({_chunks(f"({_TEXTS})")})"""
+
+_CENTROIDS = """
+    r_vec AS (SELECT vec_id, label, cast(embedding AS double[]) AS v FROM embeddings),
+    r_dims AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM r_vec) GROUP BY 1, 2),
+    r_q AS (SELECT cast(label AS bigint) AS question, list(x ORDER BY i) AS q FROM r_dims GROUP BY 1)"""
+
+
+def _vector(k: int, where: str = "true") -> str:
+    return f"""{_CENTROIDS},
+    r_hits AS (SELECT * FROM (SELECT question, chunk_id, score, row_number() OVER (PARTITION BY question ORDER BY score DESC, chunk_id) AS rk
+               FROM (SELECT question, vec_id AS chunk_id, round(list_cosine_similarity(v, q), 6) AS score FROM r_vec CROSS JOIN r_q WHERE {where}))
+               WHERE rk <= {k})"""
+
+
+_BM25 = rf"""{_CHUNKS},
+    r_words AS (SELECT chunk_id, regexp_extract_all(lower(content), '[\p{{L}}\p{{N}}]+') AS w FROM r_chunks),
+    r_tf AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest(w) AS term FROM r_words) GROUP BY 1, 2),
+    r_len AS (SELECT chunk_id, len(w) AS n FROM r_words),
+    r_stat AS (SELECT count(*) AS docs, sum(n) / count(*) AS avg_len FROM r_len),
+    r_df AS (SELECT term, count(*) AS df FROM r_tf GROUP BY 1),
+    r_ask AS (SELECT DISTINCT question, term FROM (SELECT item_id AS question, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+')) AS term FROM benchmark)),
+    r_hits AS (SELECT * FROM (SELECT question, chunk_id, score, row_number() OVER (PARTITION BY question ORDER BY score DESC, chunk_id) AS rk FROM (
+        SELECT a.question, t.chunk_id, round(sum(ln(1 + (s.docs - d.df + 0.5::double) / (d.df + 0.5::double)) * t.tf * 2.2::double
+               / (t.tf + 1.2::double * (0.25::double + 0.75::double * l.n / s.avg_len))), 6) AS score
+        FROM r_ask a JOIN r_tf t ON t.term = a.term JOIN r_df d ON d.term = a.term JOIN r_len l ON l.chunk_id = t.chunk_id CROSS JOIN r_stat s
+        GROUP BY 1, 2)) WHERE rk <= 5)"""
+
+SQL = {
+    "binary_docs": """
+        SELECT count(*) AS documents, round(cast(coalesce(sum(length(html)), 0) AS double) / 1024.0 / 1024.0, 1) AS total_mb
+        FROM pages WHERE lower(url) LIKE '%.html'""",
+    "parse_documents": f"""
+        SELECT concat('pages/', p.page_id, '.html') AS doc_uri, coalesce(len(els), 0) AS elements,
+               CASE lower(regexp_extract(els[1], '^<([a-zA-Z0-9]+)', 1)) WHEN 'title' THEN 'title' WHEN 'p' THEN 'paragraph'
+                    WHEN 'li' THEN 'list_item' ELSE 'heading' END AS first_type,
+               {_plain("els[1]")} AS first_content, CASE WHEN html IS NULL OR trim(html) = '' THEN 'EMPTY_DOCUMENT' END AS error_status
+        FROM (SELECT *, regexp_extract_all(regexp_replace(html, '{_DROP}', '', 'g'), '{_ELEMENT}') AS els FROM pages) p""",
+    "flatten_elements": f"SELECT * FROM ({_ELEMENTS})",
+    "parse_verify": f"""
+        SELECT count(DISTINCT e.doc_uri) AS documents_parsed, count(e.doc_uri) AS page_elements,
+               cast(sum(length(e.content)) AS bigint) AS total_characters,
+               count(*) FILTER (e.doc_uri IS NULL) AS documents_without_elements
+        FROM pages p LEFT JOIN ({_ELEMENTS}) e ON e.doc_uri = concat('pages/', p.page_id, '.html')""",
+    "chunk_fixed": f"""
+        SELECT doc_uri AS doc_id, pos, length(piece) AS chars, md5(piece) AS digest
+        FROM ({_chunks("(SELECT doc_id AS doc_uri, 0 AS page, 0 AS element_id, text AS content FROM documents)")})""",
+    "chunk_table": f"WITH {_CHUNKS} SELECT * FROM r_chunks",
+    "chunk_position": _semantic("SELECT doc_uri, chunk_position, length(content) AS chars FROM r_semantic", 2000),
+    "chunk_semantic": _semantic(
+        "SELECT sha256(concat_ws('::', doc_uri, page, chunk_position)) AS chunk_id, doc_uri, page, chunk_position, content, header, "
+        "'semantic' AS chunk_method FROM r_semantic"
+    ),
+    "chunk_enrich": _semantic(_ENRICHED),
+    "chunk_fallback": _semantic(_MIXED),
+    "chunk_stats": _semantic(
+        f"""SELECT chunk_method, count(*) AS total_chunks, count(DISTINCT chunk_id) AS distinct_ids,
+                   count(*) - count(DISTINCT chunk_id) AS duplicate_ids, count(DISTINCT doc_uri) AS documents,
+                   round(avg(length(content))) AS avg_retrieved_chars, round(avg(length(chunk_to_embed))) AS avg_embedded_chars
+            FROM ({_MIXED}) GROUP BY 1"""
+    ),
+    "incremental_sync": f"""
+        WITH {_CHUNKS},
+        r_src AS (SELECT concat_ws('/', 'documents', source, concat(doc_id, '.txt')) AS doc_uri, 0::bigint AS element_id, 0::bigint AS page,
+                         regexp_replace(text, '\\n+', ' ', 'g') AS content
+                  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+                  UNION ALL SELECT concat('benchmark/', item_id), 0, 0, text FROM benchmark),
+        r_new AS ({_FIXED.format(chunks=_chunks("r_src"))})
+        SELECT coalesce(o.chunk_id, n.chunk_id) AS chunk_id,
+               CASE WHEN o.chunk_id IS NULL THEN 'I' WHEN n.chunk_id IS NULL THEN 'D' ELSE 'U' END AS op
+        FROM r_chunks o FULL JOIN r_new n ON o.chunk_id = n.chunk_id
+        WHERE o.chunk_id IS NULL OR n.chunk_id IS NULL OR o.chunk_to_embed <> n.chunk_to_embed""",
+    "vector_topk": f"WITH {_vector(5)} SELECT question, chunk_id, score, rk FROM r_hits",
+    "topk_per_query": f"WITH {_vector(3)} SELECT h.question, h.chunk_id, h.score, h.rk, cast(e.label AS bigint) AS label "
+    "FROM r_hits h JOIN embeddings e ON e.vec_id = h.chunk_id",
+    "filtered_search": f"WITH {_vector(5, 'label IN (1, 2, 3)')} SELECT question, chunk_id, score, rk FROM r_hits",
+    "keyword_topk": f"WITH {_BM25} SELECT question, chunk_id, score, rk FROM r_hits",
+    "search_report": rf"""
+        WITH {_BM25} SELECT h.question, h.rk AS rank, h.score, c.page, split_part(c.doc_uri, '/', -1) AS source,
+               left(trim(regexp_replace(c.content, '\s+', ' ', 'g')), 200) AS snippet
+        FROM r_hits h JOIN r_chunks c ON c.chunk_id = h.chunk_id""",
+    "answerable_gate": f"WITH {_vector(5)} SELECT question, max(score) AS best, max(score) >= 0.70 AS answerable FROM r_hits GROUP BY 1",
+    "retrieval_eval": f"""
+        WITH {_vector(5)}, r_first AS (SELECT h.question, min(h.rk) AS rk FROM r_hits h JOIN embeddings e
+                                       ON e.vec_id = h.chunk_id AND e.label = h.question GROUP BY 1)
+        SELECT count(*) AS questions, round(avg(CASE WHEN f.rk IS NULL THEN 0.0::double ELSE 1.0::double END), 4) AS hit_rate,
+               round(avg(coalesce(1.0::double / f.rk, 0)), 4) AS mrr
+        FROM (SELECT DISTINCT label AS question FROM embeddings) q LEFT JOIN r_first f ON f.question = q.question""",
+}
+
+DUPLICATE_IDS = f"""
+    WITH {_CHUNKS} SELECT 'chunk ids are unique' AS rule, count(*) AS checked, count(*) - count(DISTINCT chunk_id) AS violations,
+         count(*) = count(DISTINCT chunk_id) AS passed FROM r_chunks"""
+SQL["dq_duplicate_ids"] = DUPLICATE_IDS

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from crownledger.operators import adjudication as B
 from crownledger.operators import aggregates as A
-from crownledger.operators import documents as R
 from crownledger.operators import joins as J
 from crownledger.operators import quality as D
 from crownledger.plans.registry import QUERIES, query
@@ -230,7 +229,7 @@ def dq_no_nulls_after_fix(t):
 
 @query("dq_duplicate_ids")
 def dq_duplicate_ids(t):
-    chunks = R.chunk_table(t.elements())
+    chunks = t.chunks()
     return D.duplicate_ids(chunks, "chunk_id", "chunk ids are unique")
 
 

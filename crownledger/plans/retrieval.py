@@ -1 +1,190 @@
+"""Document, chunk and search queries."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from crownledger.functions.exprs import edge
+from crownledger.operators import documents as R
+from crownledger.operators import retrieval as S
+from crownledger.plans.registry import query
+from crownledger.sources import docs
+
+TOP = 5
+DIM = 64
+
+
+@query("binary_docs")
+def binary_docs(t):
+    """Documents with a matching address: how many, and their size in MB."""
+    return docs.size_report(t.raw("pages").select(F.col("url").alias("path"), F.length("html").alias("length")), ".html")
+
+
+@query("parse_documents")
+def parse_documents(t):
+    parsed = R.parse_documents(t.pages())
+    return parsed.select(
+        "doc_uri",
+        F.size(F.variant_get("parsed", "$.document.elements", "array<variant>")).cast("bigint").alias("elements"),
+        F.variant_get("parsed", "$.document.elements[0].type", "string").alias("first_type"),
+        F.variant_get("parsed", "$.document.elements[0].content", "string").alias("first_content"),
+        F.variant_get("parsed", "$.error_status", "string").alias("error_status"),
+    )
+
+
+@query("flatten_elements")
+def flatten_elements(t):
+    return edge(t.elements())
+
+
+@query("parse_verify")
+def parse_verify(t):
+    return R.parse_stats(t.elements(), t.pages())
+
+
+@query("chunk_fixed")
+def chunk_fixed(t):
+    pieces = t.raw("documents").select("doc_id", F.posexplode(R.chunk_fixed("text")).alias("pos", "piece"))
+    return pieces.select(
+        "doc_id",
+        F.col("pos").cast("bigint").alias("pos"),
+        F.length("piece").cast("bigint").alias("chars"),
+        F.md5("piece").alias("digest"),
+    )
+
+
+@query("chunk_table")
+def chunk_table(t):
+    return edge(t.chunks())
+
+
+@query("chunk_position")
+def chunk_position(t):
+    chunks = R.chunk_semantic(t.elements(), 2000)
+    return chunks.select(
+        "doc_uri",
+        F.col("chunk_position").cast("bigint").alias("chunk_position"),
+        F.length("content").cast("bigint").alias("chars"),
+    )
+
+
+@query("chunk_semantic")
+def chunk_semantic(t):
+    return edge(R.chunk_semantic(t.elements()))
+
+
+@query("chunk_enrich")
+def chunk_enrich(t):
+    elements = t.elements()
+    return edge(R.enrich(R.chunk_semantic(elements), R.document_titles(elements)))
+
+
+def _mixed(t):
+    """Web pages with headings and plain documents without, chunked by whichever method fits."""
+    elements = t.elements().unionByName(t.texts())
+    return R.chunk(elements)
+
+
+@query("chunk_fallback")
+def chunk_fallback(t):
+    return edge(_mixed(t))
+
+
+@query("chunk_stats")
+def chunk_stats(t):
+    return R.chunk_stats(_mixed(t))
+
+
+@query("embed_chunks")
+def embed_chunks(t):
+    embedded = S.embed(t.chunks().select("chunk_id", "chunk_to_embed"), "chunk_to_embed")
+    squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return embedded.select(
+        "chunk_id",
+        F.size("embedding").cast("bigint").alias("dims"),
+        F.size(F.filter("embedding", lambda x: x != 0)).cast("bigint").alias("nonzero"),
+        F.round(F.sqrt(squares), 3).alias("norm"),
+    )
+
+
+@query("incremental_sync")
+def incremental_sync(t):
+    """Index of all chunks against a source without toxic documents, with tidied texts and new passages."""
+    old = R.content_hash(t.chunks(), "chunk_id", "chunk_to_embed")
+    toxic = t.raw("labels").filter(F.col("toxic") == 1).select("doc_id")
+    kept = t.raw("documents").join(toxic, "doc_id", "left_anti").select(
+        F.concat_ws("/", F.lit("documents"), "source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("doc_uri"),
+        F.lit(0).alias("page"),
+        F.regexp_replace("text", r"\n+", " ").alias("content"),
+    )
+    added = t.raw("benchmark").select(
+        F.concat(F.lit("benchmark/"), F.col("item_id").cast("string")).alias("doc_uri"),
+        F.lit(0).alias("page"),
+        F.col("text").alias("content"),
+    )
+    new = R.content_hash(R.chunk_table(kept.unionByName(added)), "chunk_id", "chunk_to_embed")
+    return R.diff(old, new)
+
+
+def _corpus(t):
+    return t.raw("embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding", "label")
+
+
+def _hits(t, k=TOP):
+    return S.vector_topk(t.vector_questions(), _corpus(t), k)
+
+
+@query("vector_topk")
+def vector_topk(t):
+    return edge(_hits(t))
+
+
+@query("topk_per_query")
+def topk_per_query(t):
+    """Ranked hits per question with the columns of the hit."""
+    return edge(_hits(t, 3).join(_corpus(t).select("chunk_id", "label"), "chunk_id"))
+
+
+@query("vector_topk_ann")
+def vector_topk_ann(t):
+    """Approximate hits, each with a flag whether the exact search has it too."""
+    questions = t.vector_questions()
+    ann = S.vector_topk_ann(questions, S.assign_cells(_corpus(t), DIM), TOP, DIM)
+    exact = S.vector_topk(questions, _corpus(t), TOP).select("question", "chunk_id", F.lit(True).alias("exact"))
+    return edge(
+        ann.join(exact, ["question", "chunk_id"], "left").withColumn("exact", F.coalesce("exact", F.lit(False)))
+    )
+
+
+@query("filtered_search")
+def filtered_search(t):
+    """Candidates restricted to three labels before the search."""
+    return edge(S.vector_topk(t.vector_questions(), _corpus(t), TOP, where=F.col("label").isin(1, 2, 3)))
+
+
+@query("keyword_topk")
+def keyword_topk(t):
+    return edge(S.bm25_topk(t.questions(), t.chunks(), TOP))
+
+
+@query("hybrid_search")
+def hybrid_search(t):
+    return edge(S.hybrid_topk(t.questions(), t.chunks(), TOP))
+
+
+@query("search_report")
+def search_report(t):
+    chunks = t.chunks()
+    return S.search_report(S.bm25_topk(t.questions(), chunks, TOP), chunks)
+
+
+@query("answerable_gate")
+def answerable_gate(t):
+    return S.answerable(_hits(t), 0.70)
+
+
+@query("retrieval_eval")
+def retrieval_eval(t):
+    """A hit is right if it has the label of the question."""
+    gold = t.raw("embeddings").select(F.col("label").cast("bigint").alias("question"), F.col("vec_id").alias("chunk_id"))
+    return S.evaluate(_hits(t), gold)
