@@ -48,8 +48,8 @@ def mean_r(value, digits: int) -> Column:
 
 
 def total(value) -> Column:
-    """Money total: summed in DECIMAL, turned into DOUBLE only at the end."""
-    return F.sum(as_column(value)).cast("double")
+    """Money total, exact in DECIMAL; :func:`edge` turns it into DOUBLE for outside readers."""
+    return F.sum(as_column(value))
 
 
 def share_pct(num, den, digits: int = 1) -> Column:

@@ -45,7 +45,7 @@ def gold_monthly_revenue(invoices: DataFrame) -> DataFrame:
         X.total("estimated_insurance_responsibility").alias("insurance_portion"),
         X.total("patient_balance").alias("outstanding_patient_balance"),
         X.n_if("is_overdue").alias("overdue_invoices"),
-        X.sum_if("patient_balance", "is_overdue").cast("double").alias("overdue_balance"),
+        X.sum_if("patient_balance", "is_overdue").alias("overdue_balance"),
     )
 
 

@@ -86,7 +86,7 @@ def measures(tables: Mapping[str, DataFrame], names: Iterable[str]) -> DataFrame
         wanted.setdefault(AMOUNTS[name][0], []).append(name)
     parts = []
     for table, labels in wanted.items():
-        sums = tables[table].agg(*[X.total(AMOUNTS[n][1]).alias(f"m{i}") for i, n in enumerate(labels)])
+        sums = tables[table].agg(*[X.total(AMOUNTS[n][1]).cast("decimal(38,2)").alias(f"m{i}") for i, n in enumerate(labels)])
         rows = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(f"m{i}").alias("amount")) for i, n in enumerate(labels)])
         parts.append(sums.select(F.explode(rows).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
@@ -141,7 +141,7 @@ def q_writeoff_by_category(lines: DataFrame, codes: DataFrame) -> DataFrame:
     dated = joins.with_dim(per_code, codes.select("billing_code_id", "procedure_category"), "billing_code_id")
     off, kept = F.sum("_off"), F.sum("_kept")
     return dated.groupBy("procedure_category").agg(
-        off.cast("double").alias("total_writeoff"), X.share_pct(off, off + kept, 1).alias("writeoff_pct_of_gross")
+        off.alias("total_writeoff"), X.share_pct(off, off + kept, 1).alias("writeoff_pct_of_gross")
     )
 
 
@@ -222,14 +222,7 @@ class MetricView:
             wanted = [F.col(column[d]).alias(d) for d in dims if owner[d] == name]
             dim = tables[table].select(F.col(key).alias(f"_key_{name}"), *wanted)
             summed = summed.join(dim, f"_key_{name}", "left")
-        return summed.groupBy(*dims).agg(*[self._final(summed, m) for m in names])
-
-    @staticmethod
-    def _final(df: DataFrame, measure: str) -> Column:
-        value = F.sum(measure)
-        if df.schema[measure].dataType.typeName() == "decimal":
-            value = value.cast("double")
-        return value.alias(measure)
+        return summed.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in names])
 
 
 CLAIMS_VIEW = MetricView(

@@ -7,16 +7,15 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
-from crownledger.functions.exprs import edge
 from crownledger.operators import gold, silver
 from crownledger.plans.registry import query
 from crownledger.schemas import TABLES
 
 for _table in TABLES:
-    query(f"silver_{_table}")(lambda t, _table=_table: edge(t.silver(_table)))
+    query(f"silver_{_table}")(lambda t, _table=_table: t.silver(_table))
 
 for _table in gold.BUILDERS:
-    query(_table)(lambda t, _table=_table: edge(t.gold(_table)))
+    query(_table)(lambda t, _table=_table: t.gold(_table))
 
 
 @query("standardize_text")

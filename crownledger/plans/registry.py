@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from crownledger.bindings import Lake
+from crownledger.functions.exprs import edge
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {}
 
 
 def query(name: str) -> Callable[[Callable[[Lake], DataFrame]], Callable[[Lake], DataFrame]]:
+    """Register a query. Its result leaves the engine with DOUBLE money and BIGINT counts."""
+
     def add(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = lambda t: edge(fn(t))
         return fn
 
     return add

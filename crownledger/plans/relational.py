@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
-from crownledger.functions.exprs import edge
 from crownledger.operators import aggregates as A
 from crownledger.operators import joins as J
 from crownledger.operators import ordered as O
@@ -21,7 +20,7 @@ ROWS = F.count(F.lit(1))
 @query("inner_equi_join")
 def inner_equi_join(t):
     lines = t.lines_core().select("line_id", "invoice_id", "allowed_amount")
-    return edge(J.lines_with_service_date(lines, t.silver("invoices")))
+    return J.lines_with_service_date(lines, t.silver("invoices"))
 
 
 @query("join_using")
@@ -103,7 +102,7 @@ def composite_key_join(t):
 @query("index_join")
 def index_join(t):
     invoices = t.silver("invoices").select("invoice_id", "total_gross_amount", "total_allowed_amount")
-    return edge(J.with_line_totals(invoices, t.lines_core()))
+    return J.with_line_totals(invoices, t.lines_core())
 
 
 @query("dependent_policy")
@@ -118,7 +117,7 @@ def coverage_lookup(t):
     rules = t.silver("coverage_rules").select(
         "policy_id", "billing_code_id", "rule_id", "copay_flat_amount", "coinsurance_percentage", "deductible_applies"
     )
-    return edge(J.with_rule(lines, rules))
+    return J.with_rule(lines, rules)
 
 
 @query("star_join_metric")
@@ -137,7 +136,7 @@ def star_join_metric(t):
             "patient": (t.silver("patients").select("patient_id", "gender"), "patient_id"),
         },
     )
-    return edge(wide)
+    return wide
 
 
 @query("subset_check")
@@ -300,7 +299,7 @@ def latest_month_rows(t):
 @query("limit_sample")
 def limit_sample(t):
     """First five rows of a table, in no particular order."""
-    return edge(t.bronze("claims_and_payments").limit(5))
+    return t.bronze("claims_and_payments").limit(5)
 
 
 @query("distinct_rows")

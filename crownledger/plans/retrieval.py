@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crownledger.functions.exprs import edge
 from crownledger.operators import documents as R
 from crownledger.operators import retrieval as S
 from crownledger.plans.registry import query
@@ -34,7 +33,7 @@ def parse_documents(t):
 
 @query("flatten_elements")
 def flatten_elements(t):
-    return edge(t.elements())
+    return t.elements()
 
 
 @query("parse_verify")
@@ -55,7 +54,7 @@ def chunk_fixed(t):
 
 @query("chunk_table")
 def chunk_table(t):
-    return edge(t.chunks())
+    return t.chunks()
 
 
 @query("chunk_position")
@@ -70,13 +69,13 @@ def chunk_position(t):
 
 @query("chunk_semantic")
 def chunk_semantic(t):
-    return edge(R.chunk_semantic(t.elements()))
+    return R.chunk_semantic(t.elements())
 
 
 @query("chunk_enrich")
 def chunk_enrich(t):
     elements = t.elements()
-    return edge(R.enrich(R.chunk_semantic(elements), R.document_titles(elements)))
+    return R.enrich(R.chunk_semantic(elements), R.document_titles(elements))
 
 
 def _mixed(t):
@@ -87,7 +86,7 @@ def _mixed(t):
 
 @query("chunk_fallback")
 def chunk_fallback(t):
-    return edge(_mixed(t))
+    return _mixed(t)
 
 
 @query("chunk_stats")
@@ -136,13 +135,13 @@ def _hits(t, k=TOP):
 
 @query("vector_topk")
 def vector_topk(t):
-    return edge(_hits(t))
+    return _hits(t)
 
 
 @query("topk_per_query")
 def topk_per_query(t):
     """Ranked hits per question with the columns of the hit."""
-    return edge(_hits(t, 3).join(_corpus(t).select("chunk_id", "label"), "chunk_id"))
+    return _hits(t, 3).join(_corpus(t).select("chunk_id", "label"), "chunk_id")
 
 
 @query("vector_topk_ann")
@@ -151,25 +150,23 @@ def vector_topk_ann(t):
     questions = t.vector_questions()
     ann = S.vector_topk_ann(questions, S.assign_cells(_corpus(t), DIM), TOP, DIM)
     exact = S.vector_topk(questions, _corpus(t), TOP).select("question", "chunk_id", F.lit(True).alias("exact"))
-    return edge(
-        ann.join(exact, ["question", "chunk_id"], "left").withColumn("exact", F.coalesce("exact", F.lit(False)))
-    )
+    return ann.join(exact, ["question", "chunk_id"], "left").withColumn("exact", F.coalesce("exact", F.lit(False)))
 
 
 @query("filtered_search")
 def filtered_search(t):
     """Candidates restricted to three labels before the search."""
-    return edge(S.vector_topk(t.vector_questions(), _corpus(t), TOP, where=F.col("label").isin(1, 2, 3)))
+    return S.vector_topk(t.vector_questions(), _corpus(t), TOP, where=F.col("label").isin(1, 2, 3))
 
 
 @query("keyword_topk")
 def keyword_topk(t):
-    return edge(S.bm25_topk(t.questions(), t.chunks(), TOP))
+    return S.bm25_topk(t.questions(), t.chunks(), TOP)
 
 
 @query("hybrid_search")
 def hybrid_search(t):
-    return edge(S.hybrid_topk(t.questions(), t.chunks(), TOP))
+    return S.hybrid_topk(t.questions(), t.chunks(), TOP)
 
 
 @query("search_report")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
-from crownledger.functions.exprs import edge
 from crownledger.operators import adjudication as B
 from crownledger.plans.registry import query
 
@@ -20,48 +19,48 @@ def status_lines(t):
 
 @query("deductible_accumulator")
 def deductible_accumulator(t):
-    return edge(B.deductible_applied(t.adjudication_lines()).select(*LINE, "allowed_amount", "deductible_applied"))
+    return B.deductible_applied(t.adjudication_lines()).select(*LINE, "allowed_amount", "deductible_applied")
 
 
 @query("annual_max_accumulator")
 def annual_max_accumulator(t):
     out = B.insurance_estimate(t.adjudication_lines())
-    return edge(out.select(*LINE, "est_uncapped", F.col("est_insurance").alias("paid_est")))
+    return out.select(*LINE, "est_uncapped", F.col("est_insurance").alias("paid_est"))
 
 
 @query("benefit_year_rollup")
 def benefit_year_rollup(t):
-    return edge(B.benefit_years(t.adjudication_lines()))
+    return B.benefit_years(t.adjudication_lines())
 
 
 @query("allowed_amount")
 def allowed_amount(t):
     out = B.allowed(status_lines(t), t.bronze("billing_codes"))
-    return edge(out.select("line_id", "billing_code_id", "network_status", "allowed_amount"))
+    return out.select("line_id", "billing_code_id", "network_status", "allowed_amount")
 
 
 @query("contractual_writeoff")
 def contractual_writeoff(t):
     out = B.writeoff(B.allowed(status_lines(t), t.bronze("billing_codes")))
-    return edge(out.select("line_id", "network_status", "standard_fee", "allowed_amount", "contractual_writeoff"))
+    return out.select("line_id", "network_status", "standard_fee", "allowed_amount", "contractual_writeoff")
 
 
 @query("insurance_estimate")
 def insurance_estimate(t):
     out = B.insurance_estimate(t.adjudication_lines())
-    return edge(out.select("line_id", "deductible_applied", "copay_flat_amount", "coinsurance_percentage", "est_insurance"))
+    return out.select("line_id", "deductible_applied", "copay_flat_amount", "coinsurance_percentage", "est_insurance")
 
 
 @query("patient_estimate")
 def patient_estimate(t):
     out = B.patient_estimate(B.insurance_estimate(t.adjudication_lines()))
-    return edge(out.select("line_id", "allowed_amount", "est_insurance", "est_patient"))
+    return out.select("line_id", "allowed_amount", "est_insurance", "est_patient")
 
 
 @query("invoice_rollup")
 def invoice_rollup(t):
     visits = t.bronze("invoices").select("invoice_id", "service_date", "actual_patient_paid_at_visit")
-    return edge(B.roll_up(t.bronze("invoice_lines"), visits))
+    return B.roll_up(t.bronze("invoice_lines"), visits)
 
 
 @query("needs_prior_auth")
@@ -98,7 +97,7 @@ def dispute_reason_map(t):
 @query("amount_recovered")
 def amount_recovered(t):
     disputes = t.silver("claim_disputes").select("dispute_id", "claim_id", "dispute_outcome")
-    return edge(B.recovered(disputes, t.silver("claims_and_payments")))
+    return B.recovered(disputes, t.silver("claims_and_payments"))
 
 
 @query("network_status")
@@ -114,7 +113,7 @@ def network_status(t):
 @query("coverage_matrix")
 def coverage_matrix(t):
     out = B.coverage_matrix(t.bronze("insurance_policies"), t.bronze("billing_codes"), B.plan_design(t.spark))
-    return edge(out.withColumn("frequency_limit_per_year", F.coalesce("frequency_limit_per_year", F.lit(0))))
+    return out.withColumn("frequency_limit_per_year", F.coalesce("frequency_limit_per_year", F.lit(0)))
 
 
 @query("coverage_tier")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
-from crownledger.functions.exprs import edge
 from crownledger.operators import aggregates as A
 from crownledger.operators import semantic as G
 from crownledger.plans.registry import query
@@ -58,7 +57,7 @@ def q_claims_in_benefit_year(t):
 @query("q_claims_by_reason")
 def q_claims_by_reason(t):
     out = G.q_claims_by_reason(t.silver("claims_and_payments"), "Max Benefit Exceeded")
-    return edge(out.select("claim_id", "patient_id", "service_date", "amount_claimed", "denial_reason_code"))
+    return out.select("claim_id", "patient_id", "service_date", "amount_claimed", "denial_reason_code")
 
 
 @query("q_denial_rate_by_payer")
@@ -102,7 +101,7 @@ def ar_aging(t):
 
 def _view(t, view, dims, names, where=None):
     needed = {view.source, *[table for table, _ in view.joins.values()]}
-    return edge(view.query({n: t.silver(n) for n in needed}, dims, names, where))
+    return view.query({n: t.silver(n) for n in needed}, dims, names, where)
 
 
 @query("metric_view")

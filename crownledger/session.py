@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,17 +27,26 @@ def build_session(master: str | None = None, app: str = "crownledger", **conf: s
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for checkpoints and working tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only where it is unset (local tests) a temporary folder is used, since a machine-local
-    folder would be lost together with its executor on a cluster.
+    Only where it is unset on a local master (tests) a temporary folder is used, since on a cluster
+    a machine-local folder would be lost together with its executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    root = tempfile.mkdtemp(prefix="crownledger-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="crownledger-")
+    return _local_roots[app]
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder name under :func:`checkpoint_root`, different for every call."""
+    return f"{checkpoint_root(spark)}/crownledger/{uuid.uuid4().hex}"
