@@ -43,8 +43,13 @@ def network_status(
 
 def coverage_matrix(policies: DataFrame, codes: DataFrame, plan: DataFrame) -> DataFrame:
     """One rule per policy and billing code, from the plan design of the code's category."""
-    category = codes.select("billing_code_id", F.lower("procedure_category").alias("procedure_category"))
     pairs = joins.all_pairs(codes, "billing_code_id", policies, "policy_id")
+    return rules_for(pairs, codes, plan)
+
+
+def rules_for(pairs: DataFrame, codes: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rules of given (policy_id, billing_code_id) pairs only, where the whole matrix is not needed."""
+    category = codes.select("billing_code_id", F.lower("procedure_category").alias("procedure_category"))
     return (
         pairs.join(category, "billing_code_id")
         .join(plan, "procedure_category")

@@ -65,7 +65,7 @@ SQL = {
         SELECT patient_id, policy_id FROM s_primary_policy_holders UNION ALL
         SELECT d.patient_id, h.policy_id FROM s_policy_dependents d JOIN s_primary_policy_holders h ON d.subscriber_id = h.subscriber_id""",
     "coverage_lookup": """
-        SELECT l.line_id, l.invoice_id, l.billing_code_id, i.policy_id, r.rule_id, cast(r.copay_flat_amount AS double) AS copay_flat_amount,
+        SELECT l.line_id, l.invoice_id, l.billing_code_id, i.policy_id, concat(r.policy_id, '-', r.billing_code_id) AS rule_key, cast(r.copay_flat_amount AS double) AS copay_flat_amount,
                r.coinsurance_percentage, r.deductible_applies
         FROM b_lines_core l JOIN b_invoices i ON l.invoice_id = i.invoice_id
         JOIN s_coverage_rules r ON r.policy_id = i.policy_id AND r.billing_code_id = l.billing_code_id""",

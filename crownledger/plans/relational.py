@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
+from crownledger.operators import adjudication as B
 from crownledger.operators import aggregates as A
 from crownledger.operators import joins as J
 from crownledger.operators import ordered as O
@@ -114,9 +115,8 @@ def dependent_policy(t):
 def coverage_lookup(t):
     visits = t.bronze("invoices").select("invoice_id", "policy_id")
     lines = t.lines_core().select("line_id", "invoice_id", "billing_code_id").join(visits, "invoice_id")
-    rules = t.silver("coverage_rules").select(
-        "policy_id", "billing_code_id", "rule_id", "copay_flat_amount", "coinsurance_percentage", "deductible_applies"
-    )
+    used = lines.select("policy_id", "billing_code_id").distinct()
+    rules = B.rules_for(used, t.bronze("billing_codes"), B.plan_design(t.spark)).drop("frequency_limit_per_year")
     return J.with_rule(lines, rules)
 
 

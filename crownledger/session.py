@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -17,12 +18,27 @@ DEFAULTS = {
 }
 
 
-def build_session(master: str | None = None, app: str = "crownledger", **conf: str) -> SparkSession:
-    """A session with the engine's defaults; ``conf`` keys use ``__`` for dots."""
+PARTITION_MB = 192
+
+
+def shuffle_partitions(data_gb: float) -> int:
+    """Shuffle partitions so that one holds about ``PARTITION_MB`` of the data that is shuffled."""
+    return max(8, math.ceil(data_gb * 1024 / PARTITION_MB))
+
+
+def build_session(
+    master: str | None = None, app: str = "crownledger", data_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """A session with the engine's defaults; ``conf`` keys use ``__`` for dots.
+
+    ``data_gb``, the size of the largest shuffle, sets the number of shuffle partitions. Adaptive
+    execution merges small ones, but it cannot split an ordinary partition that is too large.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_partitions(data_gb))} if data_gb else {}
+    for key, value in {**DEFAULTS, **sized, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

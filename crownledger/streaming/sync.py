@@ -22,10 +22,9 @@ def change_log(spark: SparkSession, index: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "false").parquet(index)
 
 
-def current_index(log: DataFrame, before: int | None = None) -> DataFrame:
+def current_index(log: DataFrame) -> DataFrame:
     """Live chunks: the latest log entry per chunk, deleted ones left out."""
-    seen = log if before is None else log.filter(F.col("batch") < before)
-    latest = seen.groupBy("chunk_id").agg(
+    latest = log.groupBy("chunk_id").agg(
         F.max_by(F.struct("doc_uri", "content_hash", "chunk_to_embed", "op"), "batch").alias("e")
     )
     return latest.select("chunk_id", "e.*").filter(F.col("op") != "D").drop("op")
@@ -33,17 +32,16 @@ def current_index(log: DataFrame, before: int | None = None) -> DataFrame:
 
 def sync_batch(spark: SparkSession, batch: DataFrame, batch_id: int, index: str) -> None:
     """Bring the documents of one batch up to date. All chunks of a document arrive in one batch, so an
-    indexed chunk of such a document that is missing from the batch was deleted."""
+    indexed chunk of such a document that is missing from the batch was deleted.
+
+    The log is cut to the batch's documents before it is grouped, and to earlier batches, so a batch
+    that is repeated after a failure sees the same state again.
+    """
     new = batch.dropDuplicates(["chunk_id"]).select(
         "chunk_id", "doc_uri", "chunk_to_embed", F.sha2("chunk_to_embed", 256).alias("content_hash")
     )
-    try:
-        live = current_index(change_log(spark, index), batch_id)
-    except Exception as e:  # the index folder does not exist before the first batch
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        live = spark.createDataFrame([], LOG_SCHEMA).drop("op", "batch")
-    touched = live.join(new.select("doc_uri").distinct(), "doc_uri", "left_semi")
+    log = change_log(spark, index).filter(F.col("batch") < batch_id)
+    touched = current_index(log.join(new.select("doc_uri").distinct(), "doc_uri", "left_semi"))
     ops = diff(touched, new)
     entries = (
         ops.join(new, "chunk_id", "left")
@@ -61,6 +59,7 @@ def sync_batch(spark: SparkSession, batch: DataFrame, batch_id: int, index: str)
 
 def stream_sync(spark: SparkSession, chunks: str, schema: T.StructType, index: str, checkpoint: str) -> DataFrame:
     """Sync all chunk files that are available now and return the current index."""
+    spark.createDataFrame([], LOG_SCHEMA).drop("batch").write.mode("ignore").parquet(f"{index}/batch=-1")
     stream = spark.readStream.schema(schema).parquet(chunks)
     writer = stream.writeStream.foreachBatch(lambda df, i: sync_batch(spark, df, i, index))
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
