@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from crownledger.functions import exprs as X
 from crownledger.operators import adjudication, documents, gold, joins, silver
 from crownledger.schemas import TABLES
+from crownledger.sources.files import spread
 
 AS_OF = date(1999, 1, 1)
 ZERO = Decimal("0.00")
@@ -44,6 +45,10 @@ class Lake:
     def raw(self, name: str) -> DataFrame:
         return self._once("raw", name, lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A source table whose rows cost much work each, on all cores even if it is one small file."""
+        return self._once("spread", name, lambda: spread(self.raw(name), key))
+
     def bronze(self, name: str) -> DataFrame:
         return self._once("bronze", name, lambda: getattr(self, f"_{name}")())
 
@@ -318,7 +323,7 @@ class Lake:
             F.col("l_quantity").cast("int"),
             F.col("l_shipdate").cast("date"),
         )
-        return self.raw("lineitem").select(
+        return self.spread("lineitem", "l_orderkey").select(
             F.conv(F.substring(F.md5(content), 1, 15), 16, 10).cast("bigint").alias("line_id"),
             F.col("l_orderkey").alias("invoice_id"),
             F.col("l_partkey").alias("billing_code_id"),
@@ -478,7 +483,7 @@ class Lake:
     # --- documents ---------------------------------------------------------------------------
 
     def pages(self) -> DataFrame:
-        return self.raw("pages").select(
+        return self.spread("pages", "page_id").select(
             F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("doc_uri"), "url", "html"
         )
 
@@ -488,7 +493,7 @@ class Lake:
 
     def texts(self) -> DataFrame:
         """Plain documents as one element each: they have no headings and no pages."""
-        return self.raw("documents").select(
+        return self.spread("documents", "doc_id").select(
             F.concat_ws("/", F.lit("documents"), "source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias(
                 "doc_uri"
             ),

@@ -12,6 +12,7 @@ from crownledger.functions import exprs as X
 from crownledger.operators import joins
 from crownledger.operators.ordered import running_total
 from crownledger.schemas import PLAN_DESIGN, PLAN_SCHEMA
+from crownledger.sources.scratch import written
 
 ZERO = Decimal("0.00")
 
@@ -21,9 +22,13 @@ BENEFIT_YEAR_KEY = ("patient_id", "benefit_year")
 
 
 def plan_design(spark: SparkSession) -> DataFrame:
-    """Plan design per procedure category as a relation of three rows."""
+    """Plan design per procedure category as a relation of three rows.
+
+    The rows are fixed, so they are marked for broadcast: Spark does not know the size of local rows, and
+    would otherwise shuffle the lines by their category, which has three values.
+    """
     plan = spark.createDataFrame(PLAN_DESIGN, PLAN_SCHEMA)
-    return plan.withColumn("copay_flat_amount", X.money("copay_flat_amount"))
+    return F.broadcast(plan.withColumn("copay_flat_amount", X.money("copay_flat_amount")))
 
 
 # --- networks and coverage -------------------------------------------------------------------
@@ -139,7 +144,12 @@ def capped_benefit(lines: DataFrame) -> DataFrame:
 
 
 def insurance_estimate(lines: DataFrame) -> DataFrame:
-    return capped_benefit(uncapped_estimate(deductible_applied(lines)))
+    """Insurer's share per line: deductible, coinsurance, then the annual maximum.
+
+    The estimates before the maximum feed both levels of the second running total, so they are written
+    out once in between; otherwise the first running total would be computed twice.
+    """
+    return capped_benefit(written(uncapped_estimate(deductible_applied(lines))))
 
 
 def patient_estimate(lines: DataFrame) -> DataFrame:

@@ -60,12 +60,13 @@ ROUTE_TERMS = {
 
 
 def synonym_table(spark: SparkSession) -> DataFrame:
+    """The fixed synonym rows, marked for broadcast since Spark does not know the size of local rows."""
     rows = [
         (column, *[part.strip() for part in pair.split("=")])
         for column, pairs in SYNONYMS.items()
         for pair in pairs.split(";")
     ]
-    return spark.createDataFrame(rows, "column_name string, term string, canonical string")
+    return F.broadcast(spark.createDataFrame(rows, "column_name string, term string, canonical string"))
 
 
 def normalize(df: DataFrame, column_name: str, col: str, synonyms: DataFrame) -> DataFrame:

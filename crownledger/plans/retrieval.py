@@ -43,7 +43,7 @@ def parse_verify(t):
 
 @query("chunk_fixed")
 def chunk_fixed(t):
-    pieces = t.raw("documents").select("doc_id", F.posexplode(R.chunk_fixed("text")).alias("pos", "piece"))
+    pieces = t.spread("documents", "doc_id").select("doc_id", F.posexplode(R.chunk_fixed("text")).alias("pos", "piece"))
     return pieces.select(
         "doc_id",
         F.col("pos").cast("bigint").alias("pos"),
@@ -111,7 +111,7 @@ def incremental_sync(t):
     """Index of all chunks against a source without toxic documents, with tidied texts and new passages."""
     old = R.content_hash(t.chunks(), "chunk_id", "chunk_to_embed")
     toxic = t.raw("labels").filter(F.col("toxic") == 1).select("doc_id")
-    kept = t.raw("documents").join(toxic, "doc_id", "left_anti").select(
+    kept = t.spread("documents", "doc_id").join(toxic, "doc_id", "left_anti").select(
         F.concat_ws("/", F.lit("documents"), "source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("doc_uri"),
         F.lit(0).alias("page"),
         F.regexp_replace("text", r"\n+", " ").alias("content"),
@@ -126,7 +126,7 @@ def incremental_sync(t):
 
 
 def _corpus(t):
-    return t.raw("embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding", "label")
+    return t.spread("embeddings", "vec_id").select(F.col("vec_id").alias("chunk_id"), "embedding", "label")
 
 
 def _hits(t, k=TOP):

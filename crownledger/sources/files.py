@@ -49,6 +49,17 @@ def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df.select(*typed(schema), *([] if strict else [CORRUPT]))
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan over all cores, if it has fewer partitions than there are cores.
+
+    A file with one row group is read by one task, and heavy work per row (parsing, tokenising, hashing)
+    would stay there. Large inputs have more partitions than cores and pass through without a shuffle.
+    The rows are placed by the hash of a key, so a recomputed task gets the same rows.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def from_file(df: DataFrame, suffix: str) -> DataFrame:
     """Rows whose source file name ends with ``suffix``; for one table of a folder prefer a path glob,
     which never opens the other files."""
