@@ -26,6 +26,11 @@ def day(value: date) -> Column:
 # --- aggregates ------------------------------------------------------------------------------
 
 
+def rows() -> Column:
+    """Number of rows, as BIGINT."""
+    return F.count(F.lit(1))
+
+
 def n_if(flag) -> Column:
     """Rows on which the flag is true, as BIGINT (0 on an empty or all-null group)."""
     return F.count_if(as_column(flag))

@@ -12,7 +12,6 @@ from crownledger.operators import ordered as O
 from crownledger.plans.registry import query
 from crownledger.schemas import CATEGORICAL
 
-ROWS = F.count(F.lit(1))
 
 
 # --- joins -----------------------------------------------------------------------------------
@@ -33,7 +32,7 @@ def join_using(t):
 
 @query("left_join_preagg")
 def left_join_preagg(t):
-    count = lambda table, name: t.silver(table).groupBy("patient_id").agg(ROWS.alias(name))
+    count = lambda table, name: t.silver(table).groupBy("patient_id").agg(X.rows().alias(name))
     return J.parent_with_children(
         t.silver("patients").select("patient_id", "age_group"),
         "patient_id",
@@ -56,7 +55,7 @@ def left_join_then_group(t):
 def fanout_guard(t):
     return J.fanout_report(
         {
-            "appointments": (t.silver("appointments"), {"visits": ROWS, "no_shows": X.n_if("is_no_show")}),
+            "appointments": (t.silver("appointments"), {"visits": X.rows(), "no_shows": X.n_if("is_no_show")}),
             "invoices": (t.silver("invoices"), {"allowed": F.sum("total_allowed_amount")}),
             "claims": (t.silver("claims_and_payments"), {"denied": X.n_if("is_denied")}),
         },

@@ -9,7 +9,6 @@ from crownledger.operators import aggregates as A
 from crownledger.operators import semantic as G
 from crownledger.plans.registry import query
 
-ROWS = F.count(F.lit(1))
 YEAR_LABEL = "1998-99"
 
 
@@ -214,7 +213,7 @@ def ds_revenue_by_category(t):
 @query("ds_network_comparison")
 def ds_network_comparison(t):
     return t.silver("claims_and_payments").groupBy("network_status").agg(
-        ROWS.alias("n"), X.total("amount_claimed").alias("claimed")
+        X.rows().alias("n"), X.total("amount_claimed").alias("claimed")
     )
 
 
@@ -227,7 +226,7 @@ def measure_revenue_per_patient(t):
 
 @query("measure_claims_per_appointment")
 def measure_claims_per_appointment(t):
-    return G.per_entity(t.silver("claims_and_payments"), t.silver("appointments"), ROWS, "claims_per_appointment")
+    return G.per_entity(t.silver("claims_and_payments"), t.silver("appointments"), X.rows(), "claims_per_appointment")
 
 
 @query("measure_revenue_per_office")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crownledger.operators.documents import diff
+from crownledger.schemas import struct
 
-LOG_SCHEMA = T.StructType.fromDDL(
+LOG_SCHEMA = struct(
     "chunk_id string, doc_uri string, content_hash string, chunk_to_embed string, op string, batch bigint"
 )
 
