@@ -32,8 +32,12 @@ def typed(schema: T.StructType) -> list[Column]:
 
 
 def csv_options(strict: bool) -> dict[str, str]:
-    """Header names are checked against the schema; strict reads fail on a bad cell instead of hiding it."""
-    mode = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    """Header names are checked against the schema; strict reads fail on a bad cell instead of hiding it.
+
+    A tolerant read parses every column even if few are selected, or bad cells of the others would go unseen.
+    """
+    tolerant = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+    mode = {"mode": "FAILFAST"} if strict else tolerant
     return {"header": "true", "enforceSchema": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", **mode}
 
 
