@@ -34,10 +34,10 @@ def typed(schema: T.StructType) -> list[Column]:
 def csv_options(strict: bool) -> dict[str, str]:
     """Header names are checked against the schema; strict reads fail on a bad cell instead of hiding it.
 
-    A tolerant read parses every column even if few are selected, or bad cells of the others would go unseen.
+    A tolerant read keeps the text of a bad row aside. Spark only parses the columns that are selected, so
+    write the whole rows to a table first, as the streams do, and look for bad rows there.
     """
-    tolerant = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
-    mode = {"mode": "FAILFAST"} if strict else tolerant
+    mode = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return {"header": "true", "enforceSchema": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", **mode}
 
 
