@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from decimal import Decimal
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,16 @@ def _since(day: str, days: Column) -> Column:
     return F.date_add(F.lit(day).cast("date"), days.cast("int"))
 
 
+def _shared(build: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
+    """A derived input that is described once per lake; Spark still plans and runs it per query."""
+
+    @wraps(build)
+    def once(self: Lake) -> DataFrame:
+        return self._once("derived", build.__name__, lambda: build(self))
+
+    return once
+
+
 class Lake:
     """Bronze, silver and gold tables over one folder of source files, built on first use."""
 
@@ -305,6 +316,7 @@ class Lake:
 
     # --- money -------------------------------------------------------------------------------
 
+    @_shared
     def lines_core(self) -> DataFrame:
         """Line amounts without the code's attributes, so readers of amounts skip that join.
 
@@ -351,6 +363,7 @@ class Lake:
             )
         )
 
+    @_shared
     def _billing(self) -> DataFrame:
         """Orders with their customer and line sums: the common base of invoices and claims."""
         orders = self.raw("orders").join(
@@ -447,6 +460,7 @@ class Lake:
 
     # --- derived inputs ----------------------------------------------------------------------
 
+    @_shared
     def adjudication_lines(self) -> DataFrame:
         """Lines with patient, benefit year, plan rule and policy limits: the input of the accumulators."""
         visits = self.bronze("invoices").select("invoice_id", "patient_id", "policy_id", "service_date")
@@ -466,6 +480,7 @@ class Lake:
             .join(limits, "policy_id")
         )
 
+    @_shared
     def judged_claims(self) -> DataFrame:
         """Claims with the facts the denial rules look at: authorisation and an exhausted maximum."""
         years = self.bronze("patient_benefit_years").select(
@@ -482,15 +497,18 @@ class Lake:
 
     # --- documents ---------------------------------------------------------------------------
 
+    @_shared
     def pages(self) -> DataFrame:
         return self.spread("pages", "page_id").select(
             F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html")).alias("doc_uri"), "url", "html"
         )
 
+    @_shared
     def elements(self) -> DataFrame:
         """Elements of all web pages."""
         return documents.flatten(documents.parse_documents(self.pages()))
 
+    @_shared
     def texts(self) -> DataFrame:
         """Plain documents as one element each: they have no headings and no pages."""
         return self.spread("documents", "doc_id").select(
@@ -503,6 +521,7 @@ class Lake:
             F.col("text").alias("content"),
         )
 
+    @_shared
     def chunks(self) -> DataFrame:
         return documents.chunk_table(self.texts())
 

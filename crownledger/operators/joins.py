@@ -64,7 +64,7 @@ def fanout_report(
         for name, (df, ms) in children.items()
     }
     wide = reduce(lambda left, right: left.join(right, key, "left"), counted.values(), parent.select(key))
-    rows = {name: F.col(f"_{name}_rows") for name in children}
+    rows = {name: F.col(f"_{name}_rows").cast("decimal(18,0)") for name in children}  # a product may pass 2^63
     aggs, labels = [], []
     for name, (_, ms) in children.items():
         others = [F.greatest(F.coalesce(rows[o], F.lit(0)), F.lit(1)) for o in children if o != name]
