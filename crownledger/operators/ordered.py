@@ -37,23 +37,24 @@ def running_total(
     ``order`` must make the sequence total. ``total_name`` adds the total of the whole group.
     """
     keys = [*group, *block]
-    rows = df.withColumn("_value", value)
     direction = (lambda c: F.col(c).desc()) if descending else F.col
-    blocks = rows.groupBy(*keys).agg(F.sum("_value").alias("_block"))
-    by_group = Window.partitionBy(*group)
-    before = by_group.orderBy(*[direction(c) for c in block]).rowsBetween(Window.unboundedPreceding, -1)
+    # One struct as key: unlike separate columns it equals itself even with NULL fields, so the window and
+    # the join use the same partitioning and the rows are shuffled once.
+    rows = df.withColumns({"_value": value, "_key": F.struct(*keys)})
+    blocks = rows.groupBy("_key").agg(F.sum("_value").alias("_block"))
+    by_group = Window.partitionBy(*[F.col(f"_key.{c}") for c in group])
+    in_order = by_group.orderBy(*[direction(f"_key.{c}") for c in block])
     offsets = blocks.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.sum("_block").over(before).alias("_before"),
+        "_key",
+        F.sum("_block").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
         *([F.sum("_block").over(by_group).alias("_total")] if total_name else []),
     )
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = rows.withColumn("_within", F.sum("_value").over(inside))
-    joined = local.join(offsets, _null_safe(local, offsets, keys))
-    out = joined.withColumn(name, F.coalesce(F.col("_before"), F.lit(0)) + F.col("_within"))
+    out = local.join(offsets, "_key").withColumn(name, F.coalesce(F.col("_before"), F.lit(0)) + F.col("_within"))
     if total_name:
         out = out.withColumn(total_name, F.col("_total"))
-    return out.drop("_value", "_within", "_before", "_total", *[f"_{k}" for k in keys])
+    return out.drop("_value", "_key", "_within", "_before", "_total")
 
 
 def sequence(
