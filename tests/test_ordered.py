@@ -125,3 +125,16 @@ def test_concentration_equals_a_full_ranking(spark):
 def test_seasonality_ranks_months(spark):
     df = spark.createDataFrame([("2024-12-01",), ("2023-12-05",), ("2024-02-01",)], "d string")
     assert rows(O.seasonality(df.select(F.col("d").cast("date").alias("d")), "d")) == [(12, 2, 1), (2, 1, 2)]
+
+
+def test_rows_are_shuffled_once(spark):
+    """The lines move once, to their group and block; the join with the block offsets moves only blocks."""
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("b"), F.col("id").alias("o"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = O.running_total(df, ["g"], ["b"], ["o"], F.col("o"), "run")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin") :]
+    assert join.index("Window") < join.index("Exchange")
+    assert plan.count("Exchange hashpartitioning") == 4
