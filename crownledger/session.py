@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +69,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession) -> str:
     """A new folder name under :func:`checkpoint_root`, different for every call."""
     return f"{checkpoint_root(spark)}/crownledger/{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, so that functions that import it run there.
+
+    A cluster where the package is installed does not need it; there the archive is only a copy.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="crownledger-ship-")
+    archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
