@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import simhash
+from crownledger.llm import quality, simhash
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,9 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op9_quality": lambda spark, folder: quality.op9_quality(read(spark, folder, "documents")),
         "op10_simhash": lambda spark, folder: simhash.op10_simhash(read(spark, folder, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_quality": quality.ORACLE_SQL}
