@@ -86,7 +86,7 @@ RULES = (
     Rule("repeated_words", lambda t: 100 * t.n_repeat_words > 50 * t.n_words),
     Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
     Rule("word_length", lambda t: not 2 * t.n_words <= t.word_chars <= 15 * t.n_words),
-    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 30 * len(t.lines)),
+    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 50 * len(t.lines)),
     Rule("few_letters", lambda t: 10 * t.n_lettered < 7 * t.n_words),
 )
 
@@ -188,6 +188,6 @@ WITH d AS (
 ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND 10 * n_symbols <= n_words AND word_chars BETWEEN 2 * n_words AND 15 * n_words
-         AND 100 * n_dup_lines <= 30 * n_lines AND 10 * n_lettered >= 7 * n_words AS kept
+         AND 100 * n_dup_lines <= 50 * n_lines AND 10 * n_lettered >= 7 * n_words AS kept
 FROM b
 """

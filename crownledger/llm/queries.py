@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import quality, simhash
+from crownledger.llm import mixing, quality, sharding, simhash
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,10 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op6_mixing": lambda spark, folder: mixing.op6_mixing(read(spark, folder, "documents")),
+        "op7_sharding": lambda spark, folder: sharding.op7_sharding(read(spark, folder, "documents")),
         "op9_quality": lambda spark, folder: quality.op9_quality(read(spark, folder, "documents")),
         "op10_simhash": lambda spark, folder: simhash.op10_simhash(read(spark, folder, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality": quality.ORACLE_SQL}
+    return {"op7_sharding": sharding.ORACLE_SQL, "op9_quality": quality.ORACLE_SQL}
