@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import mixing, quality, sharding, simhash
+from crownledger.llm import decontam, mixing, quality, sharding, simhash
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": lambda spark, folder: decontam.op1_decontamination(
+            read(spark, folder, "documents"), read(spark, folder, "benchmark")
+        ),
         "op6_mixing": lambda spark, folder: mixing.op6_mixing(read(spark, folder, "documents")),
         "op7_sharding": lambda spark, folder: sharding.op7_sharding(read(spark, folder, "documents")),
         "op9_quality": lambda spark, folder: quality.op9_quality(read(spark, folder, "documents")),
