@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import decontam, mixing, quality, sharding, simhash
+from crownledger.llm import decontam, mixing, quality, secrets, sharding, simhash, warc
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,14 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": lambda spark, folder: decontam.op1_decontamination(
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
+        "op3_secrets": lambda spark, folder: secrets.op3_secrets(read(spark, folder, "documents")),
         "op6_mixing": lambda spark, folder: mixing.op6_mixing(read(spark, folder, "documents")),
         "op7_sharding": lambda spark, folder: sharding.op7_sharding(read(spark, folder, "documents")),
+        "op8_warc": lambda spark, folder: warc.op8_warc(read(spark, folder, "pages")),
         "op9_quality": lambda spark, folder: quality.op9_quality(read(spark, folder, "documents")),
         "op10_simhash": lambda spark, folder: simhash.op10_simhash(read(spark, folder, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_sharding": sharding.ORACLE_SQL, "op9_quality": quality.ORACLE_SQL}
+    return {"op7_sharding": sharding.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL, "op9_quality": quality.ORACLE_SQL}
