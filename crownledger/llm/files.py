@@ -33,7 +33,7 @@ class Roller:
             system.create_dir(path, recursive=True)
             name = f"{uuid.uuid4().hex}{self.suffix}"
             self.uri, self.bytes, self.pieces = f"{self.folder}/{name}", 0, 0
-            self.out = system.open_output_stream(f"{path}/{name}")
+            self.out = system.open_output_stream(f"{path}/{name}", compression=None)  # else a name in .gz is packed again
         self.out.write(piece)
         self.bytes += len(piece)
         self.pieces += 1
