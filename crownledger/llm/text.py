@@ -24,9 +24,11 @@ def as_bytes(text: str | Column = "text") -> Column:
 
 
 def schema(**fields: str | T.DataType) -> T.StructType:
-    """``schema(doc_id="long", fp="long")``; also takes types of an existing column."""
+    """``schema(doc_id="long", spans="array<string>")``; also takes types of an existing column."""
     out = T.StructType()
     for name, kind in fields.items():
+        if isinstance(kind, str) and kind not in ("long", "double", "string", "binary", "boolean"):
+            kind = T.DataType.fromDDL(kind)
         out = out.add(name, kind)
     return out
 
