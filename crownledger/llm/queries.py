@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import brown, decontam, mixing, quality, secrets, sharding, simhash, warc
+from crownledger.llm import brown, decontam, mixing, quality, secrets, sharding, simhash, tokens, warc
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": lambda spark, folder: decontam.op1_decontamination(
             read(spark, folder, "documents"), read(spark, folder, "benchmark")
         ),
+        "op2_tokens": lambda spark, folder: tokens.op2_tokens(read(spark, folder, "documents")),
         "op3_secrets": lambda spark, folder: secrets.op3_secrets(read(spark, folder, "documents")),
         "op4_brown": lambda spark, folder: brown.op4_brown(read(spark, folder, "documents")),
         "op6_mixing": lambda spark, folder: mixing.op6_mixing(read(spark, folder, "documents")),
