@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import brown, decontam, mixing, quality, secrets, sharding, simhash, tokens, warc
+from crownledger.llm import brown, decontam, licenses, mixing, quality, secrets, sharding, simhash, tokens, warc
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op2_tokens": lambda spark, folder: tokens.op2_tokens(read(spark, folder, "documents")),
         "op3_secrets": lambda spark, folder: secrets.op3_secrets(read(spark, folder, "documents")),
         "op4_brown": lambda spark, folder: brown.op4_brown(read(spark, folder, "documents")),
+        "op5_licenses": lambda spark, folder: licenses.op5_licenses(read(spark, folder, "documents")),
         "op6_mixing": lambda spark, folder: mixing.op6_mixing(read(spark, folder, "documents")),
         "op7_sharding": lambda spark, folder: sharding.op7_sharding(read(spark, folder, "documents")),
         "op8_warc": lambda spark, folder: warc.op8_warc(read(spark, folder, "pages")),
