@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crownledger.llm.text import as_bytes, kind_of, schema
+from crownledger.llm.text import as_bytes, kind_of, schema, whole_row
 
 WIDTH = 5  # words in a shingle
 SIMILARITY = 0.8
@@ -252,8 +252,6 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns. No shuffle."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-
     def filtered(rows: DataFrame, index: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -261,7 +259,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return rows.mapInArrow(run, rows.schema)
 
-    rows = docs.select(as_bytes().alias("text"), row)
+    rows = docs.select(as_bytes().alias("text"), whole_row(docs))
     for index in indexes(docs, items):
         rows = filtered(rows, index)
     return rows.select("row.*")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crownledger.llm.text import WORD
+from crownledger.llm.text import WORD, whole_row
 from crownledger.sources.scratch import written
 
 WEIGHTS = (5, 2, 1)
@@ -136,8 +136,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     or no words: no mixture. Texts are not shuffled.
     """
     decided = plan(sizes(docs), weights, share)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, "doc_id", "source", words().alias("size"))
+    rows = docs.select(whole_row(docs), "doc_id", "source", words().alias("size"))
     return (
         rows.join(decided, F.col("source").eqNullSafe(F.col("of")))
         .select("row", F.explode(F.array_repeat(F.lit(0), copies())).alias("copy"))

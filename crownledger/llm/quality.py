@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crownledger.llm.text import as_bytes, kind_of, schema
+from crownledger.llm.text import as_bytes, kind_of, schema, whole_row
 
 SAMPLE = 2000  # rows on which cost and selectivity are estimated; it changes the order of rules, never a verdict
 SYMBOLS = b"#*$%&|<>"
@@ -127,7 +127,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     is judged on its whole text. An empty table stays empty. No shuffle.
     """
     cascade = ordered(docs, rules, text, sample)
-    judged = docs.select(as_bytes(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    judged = docs.select(as_bytes(text).alias("text"), whole_row(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crownledger.llm.text import without
+from crownledger.llm.text import whole_row
 
 SLOTS = 65537  # prime, and over a hundred slots for each shard
 SHARDS = tuple(f"shard-{n:03d}" for n in range(64))
@@ -57,9 +57,8 @@ def placed(docs: DataFrame, key: str = "doc_id", shards: Sequence[str] = SHARDS,
     """
     owners = [(slot, shards[owner]) for slot, owner in enumerate(filled(shards, slots))]
     table = docs.sparkSession.createDataFrame(owners, "slot int, shard string")
-    rows = without(docs.withColumn("__slot", slot_of(key, slots)), "slot", "shard").withColumnRenamed("__slot", "slot")
-    names = [c for c in rows.columns if c != "slot"]
-    return rows.join(F.broadcast(table), "slot").select(*[f"`{c}`" for c in names], "slot", "shard")
+    rows = docs.select(whole_row(docs, "slot", "shard"), slot_of(key, slots).alias("slot"))
+    return rows.join(F.broadcast(table), "slot").select("row.*", "slot", "shard")
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", shards: Sequence[str] = SHARDS, files: int = 1) -> None:

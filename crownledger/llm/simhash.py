@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownledger.llm.components import components
-from crownledger.llm.text import as_bytes, kind_of, schema, without
+from crownledger.llm.text import as_bytes, kind_of, schema, whole_row
 from crownledger.sources.scratch import written
 
 SEED = 42
@@ -199,5 +199,5 @@ def dedup(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
     groups = near_duplicates(docs, own, width=width, radius=radius)
     keep = groups.filter(F.col("key") == F.col("component")).select(F.col("key").alias("__row")).distinct()
-    rows = without(docs, "__row").withColumn("__row", own)
-    return rows.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    rows = docs.select(own.alias("__row"), whole_row(docs))
+    return rows.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select("row.*")

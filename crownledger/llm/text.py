@@ -37,7 +37,6 @@ def kind_of(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
 
 
-def without(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` less the columns that a step is about to add; names differ in more than case."""
-    taken = {c.lower() for c in columns}
-    return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
+def whole_row(df: DataFrame, *without: str) -> Column:
+    """The row as one column ``row``, so that none of its names meets those that an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in without]).alias("row")
