@@ -24,6 +24,7 @@ from crownledger.sources.scratch import written
 
 LEAST_BYTES = 100  # smaller payloads are stored every time
 READ = 1 << 18
+HEAD = 1 << 20  # the longest header of a record that is not compressed
 BATCH_BYTES = 8 << 20
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -124,6 +125,11 @@ def record_at(file: pa.NativeFile, offset: int) -> Record:
         return _parsed(offset, end - len(unpack.unused_data) - offset, b"".join(parts), True)
     if not VERSION.match(chunk):
         raise Damaged("version")
+    while b"\r\n\r\n" not in chunk and len(chunk) < HEAD:
+        more = file.read_at(len(chunk), offset + len(chunk))
+        if not more:
+            raise Damaged("header")
+        chunk += more
     size = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d{1,15})\r\n", chunk.partition(b"\r\n\r\n")[0] + b"\r\n")
     if not size:
         raise Damaged("length")
