@@ -150,12 +150,17 @@ class Scanner:
         equal = sum(c[2] - c[1] for c in same)
         if equal < self.similarity * n:
             return None
-        first, last = low + same[0][1], low + same[-1][2]
-        differences = []
+        first, last, differences = low + same[0][1], low + same[-1][2], []
         for kind, a, b, c, d in codes:
+            a, b = low + a, low + b
+            if b <= first:  # before the first common word, as many words as the template has there
+                a = max(a, b - (d - c))
+                first = a if d > c else first
+            elif a >= last:
+                b = min(b, a + (d - c))
+                last = b if d > c else last
             if kind != "equal":
-                inside = own[low + a : low + b] if same[0][1] < b and a < same[-1][2] else []
-                differences += [f"-{w.decode()}" for w in template.words[c:d]] + [f"+{w.decode()}" for w in inside]
+                differences += [f"-{w.decode()}" for w in template.words[c:d]] + [f"+{w.decode()}" for w in own[a:b] if d > c or first <= a < b <= last]
         return first, last, equal, tuple(differences)
 
 
