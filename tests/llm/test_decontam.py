@@ -22,6 +22,8 @@ def plain(text, item):
     if len(own) < 5 or len(mine) < 5:
         return 0.0
     want, best = shingles(own), 0.0
+    if not want.keys() & shingles(mine).keys():
+        return 0.0
     for i in range(len(mine) - 4):
         window = shingles(mine[i : i + len(own)])
         shared = (want & window).total()

@@ -73,5 +73,7 @@ def test_queries_equal_their_sql(spark, name):
     for table in ("documents", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = queries.queries()[name](spark, FOLDER)
-    want = con.execute(queries.oracle_sql()[name]).df()[df.columns]
-    assert sorted(map(repr, df.toPandas().itertuples(index=False))) == sorted(map(repr, want.itertuples(index=False)))
+    found = con.execute(queries.oracle_sql()[name])
+    at = [[d[0] for d in found.description].index(c) for c in df.columns]
+    want = [tuple(r[i] for i in at) for r in found.fetchall()]
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
