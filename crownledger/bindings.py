@@ -323,7 +323,7 @@ class Lake:
         The line id is a 60-bit content key: it is computed per row, without a numbering shuffle.
         """
         price = X.money("l_extendedprice")
-        discount = F.col("l_discount").cast("decimal(4,2)")
+        discount = F.col("l_discount").cast("decimal(6,4)")
         content = F.concat_ws(
             "|",
             "l_orderkey",

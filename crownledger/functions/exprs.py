@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crownledger.schemas import AGE_BANDS, GENDER_WORDS
+
 MONEY = "decimal(12,2)"
 
 
@@ -78,20 +80,15 @@ def month_of(value) -> Column:
 
 
 def age_group(age) -> Column:
-    """Five age bands. An unknown age falls into the last band; see the null-age quality rule."""
+    """The first band whose last age is not below ``age``. An unknown age falls into the last band; see the null-age quality rule."""
     age = as_column(age)
-    return (
-        F.when(age < 18, "child")
-        .when(age.between(18, 30), "young_adult")
-        .when(age.between(31, 50), "adult")
-        .when(age.between(51, 65), "middle_aged")
-        .otherwise("senior")
-    )
+    bands = [F.when(age <= last, F.lit(name)) if last is not None else F.lit(name) for last, name in AGE_BANDS]
+    return F.coalesce(*bands)
 
 
 def gender_word(code) -> Column:
     code = as_column(code)
-    return F.when(code == "M", "male").when(code == "F", "female").when(code == "O", "other").otherwise(F.lower(code))
+    return F.coalesce(*[F.when(code == short, F.lit(word)) for short, word in GENDER_WORDS], F.lower(code))
 
 
 def guarded_pct(part, whole, digits: int = 2) -> Column:

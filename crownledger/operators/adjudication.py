@@ -134,7 +134,7 @@ def uncapped_estimate(lines: DataFrame) -> DataFrame:
     base = F.greatest(
         F.col("allowed_amount") - F.col("deductible_applied") - F.col("copay_flat_amount"), F.lit(ZERO)
     )
-    share = base * F.col("coinsurance_percentage").cast("decimal(4,2)")
+    share = base * F.col("coinsurance_percentage").cast("decimal(6,4)")
     return lines.withColumn("est_uncapped", X.money(F.round(share, 2)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,10 +11,22 @@ from crownledger.functions import exprs as X
 
 CHUNK_COLUMNS = ["chunk_id", "doc_uri", "page", "chunk_position", "content", "chunk_to_embed", "chunk_method"]
 
-# Patterns of the elements that are read from a page, and of what is dropped before.
-DROPPED = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-ELEMENT = r"(?is)<(?:title|h[1-6]|p|li)(?:\s[^>]*)?>.*?</(?:title|h[1-6]|p|li)>"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# What is dropped from a page before it is read: all else is text. An unclosed one runs to the end of the page.
+DROPPED = r"(?is)<script\b.*?(?:</script\s*>|$)|<style\b.*?(?:</style\s*>|$)|<!--.*?(?:-->|$)|<!doctype[^>]*>"
+
+# Tags that begin a new element where they open and where they close, with the kind of what follows the opening.
+BLOCKS = {
+    "title": "title",
+    **dict.fromkeys(["h1", "h2", "h3", "h4", "h5", "h6"], "heading"),
+    **dict.fromkeys(["li", "dt", "dd"], "list_item"),
+    **dict.fromkeys(["tr", "caption"], "table_row"),
+    **dict.fromkeys(
+        ["p", "div", "ul", "ol", "dl", "table", "section", "article", "header", "footer", "nav", "main", "aside", "blockquote",
+         "pre", "form", "figure", "figcaption", "hr", "head", "body", "html"],
+        "paragraph",
+    ),
+}
+BLOCK = r"(?is)<(/?)(" + "|".join(sorted(BLOCKS)) + r")(?:\s[^>]*)?/?>"
 
 # Every character that counts as white space, up to the ideographic blank: stripped from the ends of a chunk.
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -21,32 +35,58 @@ SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # --- parsing ---------------------------------------------------------------------------------
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; NULL for what is no character."""
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def decode_entities(text: Column) -> Column:
+    """Named (the standard's list) and numeric entities as characters, once; what is no entity stays as it is."""
+    names = F.create_map(*[x for name, code in {**name2codepoint, "apos": 39}.items() for x in (F.lit(name), F.lit(code).cast("bigint"))])
+
+    def piece(part: Column, index: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        code = (
+            F.when(name.rlike("^#[0-9]"), F.try_to_number(F.substring(name, 2, 7), F.lit("9999999")).cast("bigint"))
+            .when(name.startswith("#"), F.conv(F.substring(name, 3, 6), 16, 10).cast("bigint"))
+            .otherwise(F.try_element_at(names, name))
+        )
+        return F.when(index == 0, part).otherwise(
+            F.coalesce(F.concat(_character(code), F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part))
+        )
+
+    decoded = F.array_join(F.transform(F.split(text, "&"), piece), "")
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
-    """Text of an HTML fragment: tags to blanks, common entities decoded, white space collapsed."""
-    out = F.regexp_replace(html, r"<[^>]+>", " ")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    """Text of an HTML fragment: tags to blanks, entities decoded, white space collapsed."""
+    out = decode_entities(F.regexp_replace(html, r"<[^>]+>", " "))
+    return F.btrim(F.regexp_replace(out, r"[\s\x{A0}]+", " "))
 
 
-def _element(raw: Column, index: Column) -> Column:
-    tag = F.lower(F.regexp_extract(raw, r"^<([a-zA-Z0-9]+)", 1))
-    kind = (
-        F.when(tag == "title", "title").when(tag == "p", "paragraph").when(tag == "li", "list_item").otherwise("heading")
-    )
-    content = plain_text(raw)
-    return F.struct(
-        index.cast("int").alias("id"),
-        F.lit(0).alias("page_id"),
-        kind.alias("type"),
-        F.when(content != "", content).alias("content"),
-    )
+def _element(piece: Column) -> Column:
+    tag = F.when(F.contains(piece, F.lit("\u0002")), F.lower(F.substring_index(piece, "\u0002", 1))).otherwise("")
+    kind = F.lit("paragraph")
+    for name in sorted(set(BLOCKS.values()) - {"paragraph"}):
+        kind = F.when(tag.isin([t for t, k in BLOCKS.items() if k == name]), name).otherwise(kind)
+    return F.struct(kind.alias("type"), plain_text(F.substring_index(piece, "\u0002", -1)).alias("content"))
 
 
 def html_elements(html: Column) -> Column:
-    """Title, headings, paragraphs and list items of a page, in page order; no shuffle, no UDF."""
-    kept = F.regexp_replace(F.coalesce(html, F.lit("")), DROPPED, "")
-    return F.transform(F.regexp_extract_all(kept, F.lit(ELEMENT), F.lit(0)), _element)
+    """All text of a page in page order, cut where a block opens or closes; no shuffle, no UDF.
+
+    Text after a closing tag belongs to whatever is around it and is a paragraph. Only scripts, styles, comments and
+    tags are left out; elements without text are dropped.
+    """
+    kept = F.regexp_replace(F.translate(F.coalesce(html, F.lit("")), "\u0001\u0002", "  "), DROPPED, " ")
+    pieces = F.split(F.regexp_replace(kept, BLOCK, "\u0001$1$2\u0002"), "\u0001")
+    found = F.filter(F.transform(pieces, _element), lambda e: e["content"] != "")
+    return F.transform(
+        found,
+        lambda e, i: F.struct(i.cast("int").alias("id"), F.lit(0).alias("page_id"), e["type"].alias("type"), e["content"].alias("content")),
+    )
 
 
 def parse_documents(pages: DataFrame, uri: str = "doc_uri", html: str = "html") -> DataFrame:

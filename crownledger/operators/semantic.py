@@ -15,22 +15,53 @@ from crownledger.operators import joins
 from crownledger.operators.aggregates import top_n
 from crownledger.operators.gold import one_row
 
-# User wording per column and the stored value it stands for ("wording = value").
-SYNONYMS = {
-    "claim_status": "clean-paid = clean-paid; paid = clean-paid; clean = clean-paid; denied = denied; rejected = denied",
-    "network_status": "in-network = in-network; in network = in-network; inn = in-network; "
-    "out-of-network = out-of-network; out of network = out-of-network; oon = out-of-network",
-    "appointment_status": "completed = completed; cancelled = cancelled; no-show = no-show; no show = no-show; missed = no-show",
-    "visit_type": "restorative = restorative; cleaning = cleaning; major = major; emergency = emergency",
-    "procedure_category": "preventive = preventive; basic = basic; major = major; prophy = preventive; hygiene = preventive",
-    "payer_type": "commercial ppo = commercial ppo; ppo = commercial ppo; dhmo = dhmo; hmo = dhmo; medicaid = medicaid",
-    "specialty_type": "general dentistry = general dentistry; pediatric dentistry = pediatric dentistry; peds = pediatric dentistry; "
-    "orthodontics = orthodontics; ortho = orthodontics",
-    "dispute_reason_category": "administrative error = administrative error; benefit limit = benefit limit; "
-    "medical necessity = medical necessity",
-    "dispute_outcome": "overturned-paid = overturned-paid; won = overturned-paid; overturned = overturned-paid; "
-    "upheld-denied = upheld-denied; lost = upheld-denied; upheld = upheld-denied",
-}
+# User wording per column and the stored value it stands for (column, wording, stored value).
+SYNONYMS = [
+    ("claim_status", "clean-paid", "clean-paid"),
+    ("claim_status", "paid", "clean-paid"),
+    ("claim_status", "clean", "clean-paid"),
+    ("claim_status", "denied", "denied"),
+    ("claim_status", "rejected", "denied"),
+    ("network_status", "in-network", "in-network"),
+    ("network_status", "in network", "in-network"),
+    ("network_status", "inn", "in-network"),
+    ("network_status", "out-of-network", "out-of-network"),
+    ("network_status", "out of network", "out-of-network"),
+    ("network_status", "oon", "out-of-network"),
+    ("appointment_status", "completed", "completed"),
+    ("appointment_status", "cancelled", "cancelled"),
+    ("appointment_status", "no-show", "no-show"),
+    ("appointment_status", "no show", "no-show"),
+    ("appointment_status", "missed", "no-show"),
+    ("visit_type", "restorative", "restorative"),
+    ("visit_type", "cleaning", "cleaning"),
+    ("visit_type", "major", "major"),
+    ("visit_type", "emergency", "emergency"),
+    ("procedure_category", "preventive", "preventive"),
+    ("procedure_category", "basic", "basic"),
+    ("procedure_category", "major", "major"),
+    ("procedure_category", "prophy", "preventive"),
+    ("procedure_category", "hygiene", "preventive"),
+    ("payer_type", "commercial ppo", "commercial ppo"),
+    ("payer_type", "ppo", "commercial ppo"),
+    ("payer_type", "dhmo", "dhmo"),
+    ("payer_type", "hmo", "dhmo"),
+    ("payer_type", "medicaid", "medicaid"),
+    ("specialty_type", "general dentistry", "general dentistry"),
+    ("specialty_type", "pediatric dentistry", "pediatric dentistry"),
+    ("specialty_type", "peds", "pediatric dentistry"),
+    ("specialty_type", "orthodontics", "orthodontics"),
+    ("specialty_type", "ortho", "orthodontics"),
+    ("dispute_reason_category", "administrative error", "administrative error"),
+    ("dispute_reason_category", "benefit limit", "benefit limit"),
+    ("dispute_reason_category", "medical necessity", "medical necessity"),
+    ("dispute_outcome", "overturned-paid", "overturned-paid"),
+    ("dispute_outcome", "won", "overturned-paid"),
+    ("dispute_outcome", "overturned", "overturned-paid"),
+    ("dispute_outcome", "upheld-denied", "upheld-denied"),
+    ("dispute_outcome", "lost", "upheld-denied"),
+    ("dispute_outcome", "upheld", "upheld-denied"),
+]
 
 # What users call an amount, and the table and column it means. "revenue" means collections.
 AMOUNTS = {
@@ -61,12 +92,7 @@ ROUTE_TERMS = {
 
 def synonym_table(spark: SparkSession) -> DataFrame:
     """The fixed synonym rows, marked for broadcast since Spark does not know the size of local rows."""
-    rows = [
-        (column, *[part.strip() for part in pair.split("=")])
-        for column, pairs in SYNONYMS.items()
-        for pair in pairs.split(";")
-    ]
-    return F.broadcast(spark.createDataFrame(rows, "column_name string, term string, canonical string"))
+    return F.broadcast(spark.createDataFrame(SYNONYMS, "column_name string, term string, canonical string"))
 
 
 def normalize(df: DataFrame, column_name: str, col: str, synonyms: DataFrame) -> DataFrame:

@@ -1,17 +1,20 @@
 """SQL for the queries of ``plans.retrieval``."""
 
-from crownledger.operators.documents import SPACES
-
-_DROP = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-_ELEMENT = r"(?is)<(?:title|h[1-6]|p|li)(?:\s[^>]*)?>.*?</(?:title|h[1-6]|p|li)>"
-
-
-def _plain(expr: str) -> str:
-    out = f"regexp_replace({expr}, '<[^>]+>', ' ', 'g')"
-    for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
-        out = f"replace({out}, '{entity}', '{char}')"
-    return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
-
+from html.entities import name2codepoint
+
+from crownledger.operators.documents import BLOCKS, SPACES
+
+# Pages are cut at every "<": a piece is a tag and the text behind it. Dropped parts are found by walking over the pieces.
+_NAMES = {**name2codepoint, "apos": 39}
+_CODES = f"MAP([{', '.join(repr(n) for n in _NAMES)}], [{', '.join(str(c) for c in _NAMES.values())}])"
+_CHAR = f"""CASE WHEN e LIKE '#x%' OR e LIKE '#X%' THEN chr(('0x' || e[3:])::INTEGER) WHEN e LIKE '#%' THEN chr(e[2:]::INTEGER)
+                 ELSE chr({_CODES}[e]) END"""
+_KINDS = "MAP([" + ", ".join(f"'{t}'" for t in BLOCKS) + "], [" + ", ".join(f"'{k}'" for k in BLOCKS.values()) + "])"
+# without comments, and script and style texts, which may hold "<": cut at their ends and rejoined from the rests
+_UNDROPPED = """list_aggregate(list_transform(string_split(list_aggregate(list_transform(string_split(
+      list_aggregate(list_transform(string_split(html, '-->'), lambda x: split_part(x, '<!--', 1)), 'string_agg', ' '),
+      '</script>'), lambda x: split_part(x, '<script', 1)), 'string_agg', ' '),
+      '</style>'), lambda x: split_part(x, '<style', 1)), 'string_agg', ' ')"""
 
 _SPACES = " || ".join(f"chr({ord(c)})" for c in SPACES)
 
@@ -26,13 +29,21 @@ def _chunks(source: str) -> str:
 
 
 _ELEMENTS = rf"""
-    SELECT doc_uri, cast(id AS bigint) AS element_id, 0::bigint AS page,
-           CASE tag WHEN 'title' THEN 'title' WHEN 'p' THEN 'paragraph' WHEN 'li' THEN 'list_item' ELSE 'heading' END AS type, content
-    FROM (SELECT doc_uri, id, lower(regexp_extract(raw, '^<([a-zA-Z0-9]+)', 1)) AS tag, {_plain("raw")} AS content
-          FROM (SELECT doc_uri, unnest(els) AS raw, generate_subscripts(els, 1) - 1 AS id
-                FROM (SELECT concat('pages/', page_id, '.html') AS doc_uri,
-                             regexp_extract_all(regexp_replace(html, '{_DROP}', '', 'g'), '{_ELEMENT}') AS els FROM pages)))
-    WHERE content <> ''"""
+    SELECT doc_uri, row_number() OVER (PARTITION BY doc_uri ORDER BY seg) - 1 AS element_id, 0::bigint AS page, type, content FROM (
+      SELECT doc_uri, seg, max(kind) AS type,
+             trim(regexp_replace(replace(string_agg(decoded, '' ORDER BY i, j), chr(160), ' '), '\s+', ' ', 'g')) AS content
+      FROM (SELECT doc_uri, seg, kind, i, j, CASE WHEN j = 1 THEN part WHEN c IS NULL THEN '&' || part ELSE c || part[length(e) + 2:] END AS decoded
+            FROM (SELECT *, CASE WHEN e <> '' THEN {_CHAR} END AS c
+                  FROM (SELECT *, CASE WHEN j > 1 THEN regexp_extract(part, '^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|[A-Za-z][A-Za-z0-9]{{1,31}});', 1) ELSE '' END AS e
+                        FROM (SELECT doc_uri, seg, kind, i, unnest(string_split(txt, '&')) AS part, generate_subscripts(string_split(txt, '&'), 1) AS j
+                              FROM (SELECT *, sum(CASE WHEN block THEN 1 ELSE 0 END) OVER (PARTITION BY doc_uri ORDER BY i) AS seg,
+                                           CASE WHEN block THEN coalesce({_KINDS}[tag], 'paragraph') WHEN i = 1 THEN 'paragraph' ELSE '' END AS kind
+                                    FROM (SELECT doc_uri, i, tag, ltrim(tag, '/') IN (SELECT unnest(map_keys({_KINDS}))) AS block,
+                                                 CASE WHEN tag IN ('script', 'style') THEN '' WHEN i = 1 THEN piece ELSE ' ' || piece[instr(piece, '>') + 1:] END AS txt
+                                          FROM (SELECT *, CASE WHEN i > 1 THEN lower(regexp_extract(piece, '^/?[a-zA-Z][a-zA-Z0-9]*')) ELSE '' END AS tag
+                                                FROM (SELECT doc_uri, unnest(string_split(h, '<')) AS piece, generate_subscripts(string_split(h, '<'), 1) AS i
+                                                      FROM (SELECT concat('pages/', page_id, '.html') AS doc_uri, {_UNDROPPED} AS h FROM pages)))))))))
+      GROUP BY doc_uri, seg) WHERE content <> ''"""
 
 _TEXTS = """SELECT concat_ws('/', 'documents', source, concat(doc_id, '.txt')) AS doc_uri, 0::bigint AS element_id, 0::bigint AS page,
                    'paragraph' AS type, text AS content FROM documents"""
@@ -102,11 +113,10 @@ SQL = {
         SELECT count(*) AS documents, round(cast(coalesce(sum(length(html)), 0) AS double) / 1024.0 / 1024.0, 1) AS total_mb
         FROM pages WHERE lower(url) LIKE '%.html'""",
     "parse_documents": f"""
-        SELECT concat('pages/', p.page_id, '.html') AS doc_uri, coalesce(len(els), 0) AS elements,
-               CASE lower(regexp_extract(els[1], '^<([a-zA-Z0-9]+)', 1)) WHEN 'title' THEN 'title' WHEN 'p' THEN 'paragraph'
-                    WHEN 'li' THEN 'list_item' ELSE 'heading' END AS first_type,
-               {_plain("els[1]")} AS first_content, CASE WHEN html IS NULL OR trim(html) = '' THEN 'EMPTY_DOCUMENT' END AS error_status
-        FROM (SELECT *, regexp_extract_all(regexp_replace(html, '{_DROP}', '', 'g'), '{_ELEMENT}') AS els FROM pages) p""",
+        SELECT doc_uri, count(element_id) AS elements, min_by(type, element_id) AS first_type, min_by(content, element_id) AS first_content,
+               CASE WHEN max(blank) THEN 'EMPTY_DOCUMENT' END AS error_status
+        FROM (SELECT concat('pages/', page_id, '.html') AS doc_uri, html IS NULL OR trim(html) = '' AS blank FROM pages)
+        LEFT JOIN ({_ELEMENTS}) USING (doc_uri) GROUP BY doc_uri""",
     "flatten_elements": f"SELECT * FROM ({_ELEMENTS})",
     "parse_verify": f"""
         SELECT count(DISTINCT e.doc_uri) AS documents_parsed, count(e.doc_uri) AS page_elements,

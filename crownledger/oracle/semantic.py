@@ -3,9 +3,7 @@
 from crownledger.operators.semantic import ROUTE_TERMS, SYNONYMS
 from crownledger.oracle.tables import AS_OF, label, rate, total
 
-_SYN = ", ".join(
-    f"('{c}', '{pair.split('=')[0].strip()}', '{pair.split('=')[1].strip()}')" for c, pairs in SYNONYMS.items() for pair in pairs.split(";")
-)
+_SYN = ", ".join(f"('{column}', '{term}', '{stored}')" for column, term, stored in SYNONYMS)
 _STAR = """s_claims_and_payments c LEFT JOIN s_insurance_companies p ON c.insurance_company_id = p.insurance_company_id
         LEFT JOIN s_dental_offices o ON c.office_id = o.office_id"""
 _REV = "s_invoices i LEFT JOIN s_patients p ON i.patient_id = p.patient_id"

@@ -32,5 +32,6 @@ SQL = {
     "stream_index_sync": f"""
         WITH {_CHUNKS} SELECT 'I' AS op, count(*) AS n FROM r_chunks
         UNION ALL SELECT 'U', count(*) FILTER (chunk_to_embed <> regexp_replace(chunk_to_embed, '\\n+', ' ', 'g')) FROM r_chunks
+        UNION ALL SELECT 'K', count(*) FILTER (chunk_to_embed = regexp_replace(chunk_to_embed, '\\n+', ' ', 'g')) FROM r_chunks
         UNION ALL SELECT 'live', count(*) FROM r_chunks""",
 }

@@ -54,9 +54,9 @@ def copy_into(t):
     for name in FIVE:
         feed = ingest.Feed(f"{root}/raw/{name}", schema_of(name))
         data = _declared(t, [name])[name]
-        data.write.option("header", "true").mode("append").csv(feed.folder)
+        data.write.options(**files.DIALECT).mode("append").csv(feed.folder)
         first, again = (ingest.copy_into(t.spark, feed, f"{root}/ledger/{name}", f"{root}/bronze/{name}") for _ in range(2))
-        data.write.option("header", "true").mode("append").csv(feed.folder)
+        data.write.options(**files.DIALECT).mode("append").csv(feed.folder)
         more = ingest.copy_into(t.spark, feed, f"{root}/ledger/{name}", f"{root}/bronze/{name}")
         rows.append((name, first, again, more, t.spark.read.parquet(f"{root}/bronze/{name}").count()))
     return _result(t, rows, "table_name string, first bigint, rerun bigint, new_file bigint, total bigint")
@@ -179,12 +179,12 @@ def stream_silver(t):
 
 @query("stream_index_sync")
 def stream_index_sync(t):
-    """Chunks of all documents synced, then the chunks of tidied texts: live chunks and log entries by operation."""
+    """Chunks of all documents synced, then tidied texts as a new version: live chunks and log entries by operation."""
     root = work_folder(t.spark)
-    chunks = t.chunks().select("chunk_id", "doc_uri", "chunk_to_embed")
+    chunks = t.chunks().select("chunk_id", "doc_uri", "chunk_to_embed", F.lit(1).cast("bigint").alias("version"))
     chunks.write.mode("append").parquet(f"{root}/chunks")
     sync.stream_sync(t.spark, f"{root}/chunks", chunks.schema, f"{root}/index", f"{root}/ckpt")
-    tidied = chunks.withColumn("chunk_to_embed", F.regexp_replace("chunk_to_embed", r"\n+", " "))
+    tidied = chunks.withColumns({"chunk_to_embed": F.regexp_replace("chunk_to_embed", r"\n+", " "), "version": F.col("version") + 1})
     tidied.write.mode("append").parquet(f"{root}/chunks")
     live = sync.stream_sync(t.spark, f"{root}/chunks", chunks.schema, f"{root}/index", f"{root}/ckpt")
     log = sync.change_log(t.spark, f"{root}/index").groupBy("op").agg(F.count(F.lit(1)).alias("n"))

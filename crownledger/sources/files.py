@@ -16,41 +16,65 @@ _INTEGERS = (T.LongType, T.IntegerType, T.ShortType)
 def text_schema(schema: T.StructType) -> T.StructType:
     """Schema to parse with: integers are read as DECIMAL, since a nullable one is often written ``1.0``.
 
-    Read as an integer, such a cell would not parse and would turn into NULL.
+    Read as an integer, such a cell would not parse and would turn into NULL. The scale is wide enough to
+    see a fraction, which :func:`typed` does not let pass.
     """
     return T.StructType(
         [
-            T.StructField(f.name, T.DecimalType(21, 1) if isinstance(f.dataType, _INTEGERS) else f.dataType)
+            T.StructField(f.name, T.DecimalType(38, 18) if isinstance(f.dataType, _INTEGERS) else f.dataType)
             for f in schema.fields
         ]
     )
 
 
-def typed(schema: T.StructType) -> list[Column]:
-    """Columns in their declared types, after parsing with :func:`text_schema`."""
-    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+def typed(schema: T.StructType, strict: bool = True) -> list[Column]:
+    """Columns in their declared types, after parsing with :func:`text_schema`.
+
+    A fraction in an integer column fails a strict load; a tolerant one leaves the cell empty and names it in the
+    column of bad rows, after the row's text if that did not parse either.
+    """
+    columns, bad = [], []
+    for f in schema.fields:
+        value = F.col(f.name)
+        if isinstance(f.dataType, _INTEGERS):
+            said = F.concat(F.lit(f"{f.name}: not a whole number: "), value.cast("string"))
+            whole = F.when(value == F.floor(value), value)
+            bad.append(F.when(value != F.floor(value), said))
+            value = F.when(value.isNull() | (value == F.floor(value)), value).otherwise(F.raise_error(said)) if strict else whole
+        columns.append(value.cast(f.dataType).alias(f.name))
+    if not strict:
+        found = F.concat_ws("; ", F.col(CORRUPT), *bad)
+        columns.append(F.when(found != "", found).alias(CORRUPT))
+    return columns
+
+
+#: Quoted cells as in RFC 4180: a quote inside is doubled, and a cell may hold line breaks.
+DIALECT = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
-def csv_options(strict: bool) -> dict[str, str]:
+def csv_options(strict: bool, line_breaks: bool = True) -> dict[str, str]:
     """Header names are checked against the schema; strict reads fail on a bad cell instead of hiding it.
 
     A tolerant read keeps the text of a bad row aside. Spark only parses the columns that are selected, so
-    write the whole rows to a table first, as the streams do, and look for bad rows there.
+    write the whole rows to a table first, as the streams do, and look for bad rows there. Files whose cells
+    may hold line breaks are read by one task each; without them, a large file is split.
     """
     mode = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return {"header": "true", "enforceSchema": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", **mode}
+    return {**DIALECT, "enforceSchema": "false", "multiLine": str(line_breaks).lower(), **mode}
 
 
-def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, strict: bool = True) -> DataFrame:
+def load_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, strict: bool = True, line_breaks: bool = True
+) -> DataFrame:
     """CSV with a header. With a schema there is no inference pass and text keys keep leading zeros;
     without one the types are inferred, which reads the files twice."""
     if schema is None:
-        return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+        return spark.read.options(**DIALECT, multiLine=str(line_breaks).lower(), inferSchema="true").csv(path)
     parse = text_schema(schema)
     if not strict:
         parse = parse.add(CORRUPT, T.StringType())
-    df = spark.read.options(**csv_options(strict)).schema(parse).csv(path)
-    return df.select(*typed(schema), *([] if strict else [CORRUPT]))
+    df = spark.read.options(**csv_options(strict, line_breaks)).schema(parse).csv(path)
+    return df.select(*typed(schema, strict))
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
@@ -75,8 +99,7 @@ def export_csv(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{folder}/{name}.csv"
-        writer = df.write.mode("overwrite").option("header", "true")
-        writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").csv(paths[name])
+        df.write.mode("overwrite").options(**DIALECT).csv(paths[name])
     return paths
 
 

@@ -1,8 +1,12 @@
 """Keeps a chunk index in step with a stream of re-chunked documents.
 
-The index is a change log in parquet, one folder per micro-batch: (chunk_id, doc_uri, op, text, hash).
-A batch writes only what changed, into its own folder, so a batch that runs twice after a failure
-overwrites itself and is counted once. The current index is the latest entry per chunk.
+Chunks carry the version of their document, a number that grows with every re-chunking. A document's live chunks are
+those of its newest version: chunks of one version may arrive in any number of micro-batches, and what an
+older version had and the newest has not is gone. A row without a chunk id says that the document is deleted.
+
+The index is a change log in parquet, one folder per micro-batch: (chunk_id, doc_uri, content_hash, chunk_to_embed,
+op, version, batch). A batch writes only what it brings, into its own folder, so that a batch that runs twice after a
+failure overwrites itself and is counted once. ``compact`` folds the log into its live part.
 """
 
 from __future__ import annotations
@@ -11,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crownledger.operators.documents import diff
 from crownledger.schemas import struct
 
 LOG_SCHEMA = struct(
-    "chunk_id string, doc_uri string, content_hash string, chunk_to_embed string, op string, batch bigint"
+    "chunk_id string, doc_uri string, content_hash string, chunk_to_embed string, op string, version bigint, batch bigint"
 )
+ENTRY = ["content_hash", "chunk_to_embed", "op"]
 
 
 def change_log(spark: SparkSession, index: str) -> DataFrame:
@@ -24,38 +28,52 @@ def change_log(spark: SparkSession, index: str) -> DataFrame:
 
 
 def current_index(log: DataFrame) -> DataFrame:
-    """Live chunks: the latest log entry per chunk, deleted ones left out."""
-    latest = log.groupBy("chunk_id").agg(
-        F.max_by(F.struct("doc_uri", "content_hash", "chunk_to_embed", "op"), "batch").alias("e")
+    """Live chunks: the latest entry per chunk of each document's newest version; no rows for deleted documents.
+
+    Two partial aggregates over keys: the newest version per document, a deletion counting after chunks of its
+    own version, and the latest entry per chunk and version.
+    """
+    newest = log.groupBy("doc_uri").agg(F.max(F.struct("version", F.col("chunk_id").isNull().alias("deleted"))).alias("newest"))
+    alive = newest.filter("not newest.deleted").select("doc_uri", F.col("newest.version").alias("version"))
+    latest = log.filter("chunk_id is not null").groupBy("chunk_id", "doc_uri", "version").agg(
+        F.max_by(F.struct(*ENTRY), "batch").alias("e")
     )
-    return latest.select("chunk_id", "e.*").filter(F.col("op") != "D").drop("op")
+    return latest.join(alive, ["doc_uri", "version"]).select("chunk_id", "doc_uri", "e.content_hash", "e.chunk_to_embed", "version")
 
 
 def sync_batch(spark: SparkSession, batch: DataFrame, batch_id: int, index: str) -> None:
-    """Bring the documents of one batch up to date. All chunks of a document arrive in one batch, so an
-    indexed chunk of such a document that is missing from the batch was deleted.
+    """Append one batch (chunk_id, doc_uri, chunk_to_embed, version) to the log.
 
-    The log is cut to the batch's documents before it is grouped, and to earlier batches, so a batch
-    that is repeated after a failure sees the same state again.
+    Of rows that repeat a chunk of one version in a batch, that with the greatest text counts. ``op`` tells what the row did to
+    the index before the batch: I for a new chunk, U for a changed text, K for a kept one, D for a deleted
+    document. Only hashes of the batch's documents are read from the log, and only from earlier
+    batches, so that a repeated batch sees the same state again.
     """
-    new = batch.dropDuplicates(["chunk_id"]).select(
-        "chunk_id", "doc_uri", "chunk_to_embed", F.sha2("chunk_to_embed", 256).alias("content_hash")
-    )
+    given = batch.groupBy("chunk_id", "doc_uri", "version").agg(F.max("chunk_to_embed").alias("chunk_to_embed"))
+    new = given.withColumn("content_hash", F.sha2("chunk_to_embed", 256))
     log = change_log(spark, index).filter(F.col("batch") < batch_id)
-    touched = current_index(log.join(new.select("doc_uri").distinct(), "doc_uri", "left_semi"))
-    ops = diff(touched, new)
-    entries = (
-        ops.join(new, "chunk_id", "left")
-        .join(touched.select("chunk_id", F.col("doc_uri").alias("_doc")), "chunk_id", "left")
-        .select(
-            "chunk_id",
-            F.coalesce("doc_uri", "_doc").alias("doc_uri"),
-            "content_hash",
-            "chunk_to_embed",
-            "op",
-        )
+    touched = log.join(new.select("doc_uri").distinct(), "doc_uri", "left_semi")
+    before = current_index(touched).select("chunk_id", F.col("content_hash").alias("_before"))
+    op = (
+        F.when(F.col("chunk_id").isNull(), "D")
+        .when(F.col("_before").isNull(), "I")
+        .when(F.col("_before") != F.col("content_hash"), "U")
+        .otherwise("K")
     )
-    entries.write.mode("overwrite").parquet(f"{index}/batch={batch_id}")
+    entries = new.join(before, "chunk_id", "left").withColumn("op", op)
+    entries.select("chunk_id", "doc_uri", *ENTRY, "version").write.mode("overwrite").parquet(f"{index}/batch={batch_id}")
+
+
+def compact(spark: SparkSession, index: str, target: str) -> None:
+    """Write the live part of a log as a new log: one entry per live chunk, and the last deletion of each deleted document."""
+    log = change_log(spark, index)
+    gone = log.filter("chunk_id is null").groupBy("doc_uri").agg(F.max("version").alias("version"))
+    marks = gone.select(
+        F.lit(None).cast("string").alias("chunk_id"), "doc_uri", F.lit(None).cast("string").alias("content_hash"),
+        F.lit(None).cast("string").alias("chunk_to_embed"), F.lit("D").alias("op"), "version",
+    )
+    live = current_index(log).withColumn("op", F.lit("K"))
+    live.select(*marks.columns).unionByName(marks).write.mode("overwrite").parquet(f"{target}/batch=-1")
 
 
 def stream_sync(spark: SparkSession, chunks: str, schema: T.StructType, index: str, checkpoint: str) -> DataFrame:

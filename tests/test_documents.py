@@ -54,9 +54,10 @@ def test_parse_and_flatten(spark):
         ("a", 0, "title", "T & U"),
         ("a", 1, "heading", "Head"),
         ("a", 2, "paragraph", "One bold two"),
-        ("a", 4, "list_item", "<item>"),
+        ("a", 3, "list_item", "<item>"),
+        ("d", 0, "paragraph", "no tags"),
     ]
-    assert rows(R.parse_stats(elements, pages)) == [(1, 4, len("T & UHeadOne bold two<item>"), 3)]
+    assert rows(R.parse_stats(elements, pages)) == [(2, 5, len("T & UHeadOne bold two<item>no tags"), 2)]
 
 
 def elements(spark, *records):
@@ -105,3 +106,24 @@ def test_diff_finds_changes_only(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], "chunk_id string, content_hash string")
     new = spark.createDataFrame([("a", "1"), ("b", "2"), ("d", "1")], "chunk_id string, content_hash string")
     assert rows(R.diff(old, new)) == [("b", "U"), ("c", "D"), ("d", "I")]
+
+
+def test_no_text_is_lost(spark):
+    pages = {
+        "nested": "<div>A</div><table><tr><td>B</td><th>B2</th></tr></table><li><p>C</p> D</li>",
+        "unclosed": "<p>one<p>two<br>more<h2>three",
+        "dropped": "a<script>if (x<1) y('<p>no</p>')</SCRIPT >b<style>p{}</style><!-- <p> c --> d<!-- open <p>no",
+        "entities": "<p>&#8217;&eacute;&#xE9;&lt;p&gt;&amp;lt; &nosuch; &#0; &#1114112; a&b &nbsp;&#160; x&</p>",
+        "inline": "<p>a<b>b</b><a href='x'>c</a></p>tail",
+    }
+    df = spark.createDataFrame(list(pages.items()), "doc_uri string, html string")
+    got = {}
+    for r in R.flatten(R.parse_documents(df)).orderBy("element_id").collect():
+        got.setdefault(r.doc_uri, []).append((r.type, r.content))
+    assert got == {
+        "nested": [("paragraph", "A"), ("table_row", "B B2"), ("paragraph", "C"), ("paragraph", "D")],
+        "unclosed": [("paragraph", "one"), ("paragraph", "two more"), ("heading", "three")],
+        "dropped": [("paragraph", "a b d")],
+        "entities": [("paragraph", "’éé<p>&lt; &nosuch; &#0; &#1114112; a&b x&")],
+        "inline": [("paragraph", "a b c"), ("paragraph", "tail")],
+    }

@@ -123,23 +123,61 @@ def test_stored_schema_evolves(spark, tmp_path):
         ingest.evolve_schema(spark, path, spark.createDataFrame([("a",)], "network_id string").schema)
 
 
+CHUNKS = "chunk_id string, doc_uri string, chunk_to_embed string, version long"
+
+
 def test_index_sync_is_incremental_and_repeatable(spark, tmp_path):
-    schema = "chunk_id string, doc_uri string, chunk_to_embed string"
     src, index, ckpt = (str(tmp_path / n) for n in ("src", "index", "ckpt"))
-    put_chunks = lambda *r: spark.createDataFrame(list(r), schema).coalesce(1).write.mode("append").parquet(src)
-    put_chunks(("a0", "a", "x"), ("a1", "a", "y"), ("b0", "b", "z"))
-    kind = spark.createDataFrame([], schema).schema
+    put_chunks = lambda *r: spark.createDataFrame(list(r), CHUNKS).coalesce(1).write.mode("append").parquet(src)
+    put_chunks(("a0", "a", "x", 1), ("a1", "a", "y", 1), ("b0", "b", "z", 1))
+    kind = spark.createDataFrame([], CHUNKS).schema
     assert sync.stream_sync(spark, src, kind, index, ckpt).count() == 3
-    put_chunks(("a0", "a", "x2"), ("a2", "a", "new"))
+    put_chunks(("a0", "a", "x2", 2), ("a2", "a", "new", 2), ("b0", "b", "z", 2))
     live = sync.stream_sync(spark, src, kind, index, ckpt)
     assert rows(live, "chunk_id", "chunk_to_embed") == [("a0", "x2"), ("a2", "new"), ("b0", "z")]
     log = rows(sync.change_log(spark, index).filter("batch = 1"), "chunk_id", "op")
-    assert log == [("a0", "U"), ("a1", "D"), ("a2", "I")]
-    again = spark.createDataFrame([("a0", "a", "x2"), ("a2", "a", "new")], schema)
+    assert log == [("a0", "U"), ("a2", "I"), ("b0", "K")]
+    again = spark.createDataFrame([("a0", "a", "x2", 2), ("a2", "a", "new", 2), ("b0", "b", "z", 2)], CHUNKS)
     sync.sync_batch(spark, again, 1, index)  # the batch runs once more after a failure
     assert rows(sync.change_log(spark, index).filter("batch = 1"), "chunk_id", "op") == log
 
 
+def test_index_sync_takes_documents_in_parts_and_deletions(spark, tmp_path):
+    index, part = str(tmp_path / "index"), iter(range(10))
+    spark.createDataFrame([], sync.LOG_SCHEMA).drop("batch").write.parquet(f"{index}/batch=-1")
+    put_batch = lambda *r: sync.sync_batch(spark, spark.createDataFrame(list(r), CHUNKS), next(part), index)
+    live = lambda: rows(sync.current_index(sync.change_log(spark, index)), "chunk_id", "chunk_to_embed")
+    put_batch(("c0", "d", "x", 1), ("c1", "d", "y", 1), ("e0", "e", "z", 1))
+    put_batch(("c2", "d", "late", 1))  # a document over two batches keeps all its chunks
+    assert live() == [("c0", "x"), ("c1", "y"), ("c2", "late"), ("e0", "z")]
+    put_batch(("c0", "d", "b", 2), ("c0", "d", "a", 2))  # two rows for one chunk: the greater text
+    assert live() == [("c0", "b"), ("e0", "z")]
+    put_batch(("c9", "d", "stale", 1))  # an old version that comes late changes nothing
+    assert live() == [("c0", "b"), ("e0", "z")]
+    put_batch((None, "e", None, 2))
+    assert live() == [("c0", "b")]
+    sync.compact(spark, index, str(tmp_path / "small"))
+    small = sync.change_log(spark, str(tmp_path / "small"))
+    assert rows(sync.current_index(small), "chunk_id") == [("c0",)] and small.count() == 2
+    put_batch(("e0", "e", "back", 3))
+    assert live() == [("c0", "b"), ("e0", "back")]
+
+
+def test_quoted_cells_and_fractions(spark, tmp_path):
+    schema = spark.createDataFrame([], "id bigint, note string").schema
+    text = 'id,note\n1,"say ""hi"""\n2.0,"a ""b"" c, d"\n3,"two\nlines"\n,""\n'
+    want = [(1, 'say "hi"'), (2, 'a "b" c, d'), (3, "two\nlines"), (None, "")]
+    got = files.load_csv(spark, put(tmp_path, "q.csv", text), schema)
+    assert sorted(rows(got), key=repr) == sorted([(i, n or None) for i, n in want], key=repr)
+    path = files.export_csv({"q": got}, str(tmp_path / "out"))["q"]
+    assert rows(files.load_csv(spark, path, schema)) == rows(got)
+    half = put(tmp_path, "f.csv", "id,note\n1.55,x\n2,y\n")
+    with pytest.raises(Exception, match="not a whole number"):
+        files.load_csv(spark, half, schema).collect()
+    loose = rows(written(files.load_csv(spark, half, schema, strict=False)))
+    assert [(r[0], r[2] is not None) for r in loose] == [(2, False), (None, True)]
+
+
 def test_session_helpers(spark):
     assert work_folder(spark) != work_folder(spark)
     assert shuffle_partitions(100 * 1024) > 500_000 and shuffle_partitions(0.01) == 8
