@@ -331,7 +331,7 @@ class Lake:
             "l_partkey",
             "l_suppkey",
             price,
-            discount,
+            F.col("l_discount").cast("decimal(4,2)"),
             F.col("l_quantity").cast("int"),
             F.col("l_shipdate").cast("date"),
         )
