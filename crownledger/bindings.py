@@ -118,9 +118,13 @@ class Lake:
         )
 
     def _memberships(self, members: DataFrame, key: str, modulus: int) -> DataFrame:
+        """Pairs whose keys add up to a multiple of ``modulus``: an equi-join on what the network lacks to it."""
         networks = self.raw("region").select(F.col("r_regionkey").cast("bigint").alias("network_id"))
-        return joins.all_pairs(members, key, networks, "network_id").filter(
-            (F.col(key) + F.col("network_id")) % modulus == 0
+        lacking = F.pmod(-F.col("network_id"), F.lit(modulus))
+        return (
+            members.select(key, F.pmod(F.col(key), F.lit(modulus)).alias("_rest"))
+            .join(networks.select("network_id", lacking.alias("_rest")), "_rest")
+            .drop("_rest")
         )
 
     def _insurance_company_networks(self) -> DataFrame:

@@ -1,5 +1,6 @@
 """SQL for the queries of ``plans.quality``."""
 
+from crownledger.oracle.retrieval import DUPLICATE_IDS
 from crownledger.schemas import FOREIGN_KEYS, TABLES
 
 
@@ -208,6 +209,20 @@ SQL = {
         FROM ({_union(*[f"SELECT '{t}' AS t, count(*) AS n FROM b_{t}" for t in TABLES])})""",
 }
 
+SQL["dq_every_visit"] = _row(
+    "1-3 reminders for every visit",
+    "count(*)",
+    "count(*) FILTER (n NOT BETWEEN 1 AND 3)",
+    """(SELECT a.appointment_id, count(r.appointment_id) AS n FROM (SELECT DISTINCT appointment_id FROM b_appointments) a
+        LEFT JOIN b_appointment_reminders r ON r.appointment_id = a.appointment_id GROUP BY 1)""",
+)
+SQL["dq_writeoff_fee"] = _row(
+    "write-off = fee of the code * quantity - allowed",
+    "count(*)",
+    "count(*) FILTER (abs(c.standard_fee * l.quantity - l.allowed_amount - l.contractual_writeoff) >= 0.02)",
+    "b_invoice_lines l JOIN b_billing_codes c ON c.billing_code_id = l.billing_code_id WHERE l.contractual_writeoff > 0",
+)
+SQL["dq_duplicate_ids"] = DUPLICATE_IDS
 SQL["dq_report"] = _union(
     *[
         f"({SQL[k]})"
@@ -229,6 +244,10 @@ SQL["dq_report"] = _union(
             "dq_cross_table_status",
             "dq_no_nulls_after_fix",
             "dq_indexed_rows",
+            "dq_every_visit",
+            "dq_writeoff_fee",
+            "dq_duplicate_ids",
+            "dq_expected_tables",
         ]
     ]
 )

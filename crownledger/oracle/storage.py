@@ -11,8 +11,23 @@ def _each(names, cols: str) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS table_name, {cols.format(w=len(columns_of(n)))} FROM b_{n}" for n in names)
 
 
+def _text_columns(name: str) -> str:
+    """Columns in which some value reads neither as a number, a date or a time, nor as true or false; empty ones are text, too."""
+    def is_text(column: str) -> str:
+        value = f"cast({column} AS varchar)"
+        other = f"try_cast({value} AS double) IS NULL AND try_cast({value} AS timestamp) IS NULL AND lower({value}) NOT IN ('true', 'false')"
+        return f"CASE WHEN count({column}) = 0 OR count(*) FILTER ({column} IS NOT NULL AND {other}) > 0 THEN 1 ELSE 0 END"
+
+    return " + ".join(is_text(c) for c in columns_of(name))
+
+
 SQL = {
-    "load_csv_ctas": _each(FIVE, "count(*) AS row_count"),
+    "load_csv_infer": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS row_count, {len(columns_of(n))}::bigint AS column_count, "
+        f"cast({_text_columns(n)} AS bigint) AS text_columns FROM b_{n}"
+        for n in TABLES
+    ),
+    "load_csv_ctas": _each(TABLES, "count(*) AS row_count"),
     "copy_into": _each(FIVE, "count(*) AS first, 0::bigint AS rerun, count(*) AS new_file, 2 * count(*) AS total"),
     "file_stream": edge("appointments", "b_appointments"),
     "append_sink": "SELECT count(*) AS total_rows, count(DISTINCT claim_id) AS distinct_keys, 0::bigint AS duplicates FROM b_claims_and_payments",
@@ -21,8 +36,8 @@ SQL = {
     "overwrite_schema": edge("insurance_companies", "s_insurance_companies", {"is_public": "payer_type = 'medicaid'"}),
     "layer_ctas": "SELECT insurance_company_id, total_claims, true AS is_stamped, 'Gold: payer performance' AS comment FROM g_payer_performance",
     "csv_export": edge("patients", "b_patients"),
-    "table_preview": _each(FIVE, "count(*) AS row_count, {w}::bigint AS column_count, 3::bigint AS sample_rows"),
-    "stream_ingest": _each(FIVE, "count(*) AS rows, 'loaded' AS status, 0::bigint AS rerun_rows"),
+    "table_preview": _each(TABLES, "count(*) AS row_count, {w}::bigint AS column_count, least(3, count(*)) AS sample_rows"),
+    "stream_ingest": _each(TABLES, "count(*) AS rows, 'loaded' AS status, 0::bigint AS rerun_rows"),
     "stream_schema_store": "SELECT is_denied, count(*) AS n, 18::bigint AS stored_columns FROM s_claims_and_payments GROUP BY 1",
     "stream_silver": edge(
         "appointments",

@@ -98,6 +98,27 @@ def dq_nullable_present(t):
     return D.has_null(t.bronze("appointments"), "source_recall_id", "walk-ins exist")
 
 
+@query("dq_every_visit")
+def dq_every_visit(t):
+    """Visits without any reminder count as violations, too."""
+    return D.per_parent(
+        t.bronze("appointments"), t.bronze("appointment_reminders"), "appointment_id", 1, 3, "1-3 reminders for every visit"
+    )
+
+
+@query("dq_writeoff_fee")
+def dq_writeoff_fee(t):
+    """The write-off against the fee of the line's code, not against the price that the line itself states."""
+    codes = t.bronze("billing_codes").select("billing_code_id", "standard_fee")
+    lines = t.bronze("invoice_lines").filter(F.col("contractual_writeoff") > 0).join(codes, "billing_code_id")
+    return D.identity(
+        lines,
+        F.col("standard_fee") * F.col("quantity") - F.col("allowed_amount"),
+        F.col("contractual_writeoff"),
+        "write-off = fee of the code * quantity - allowed",
+    )
+
+
 @query("dq_row_identity")
 def dq_row_identity(t):
     lines, invoices, years = t.bronze("invoice_lines"), t.bronze("invoices"), t.bronze("patient_benefit_years")
@@ -261,6 +282,10 @@ REPORT = [
     "dq_cross_table_status",
     "dq_no_nulls_after_fix",
     "dq_indexed_rows",
+    "dq_every_visit",
+    "dq_writeoff_fee",
+    "dq_duplicate_ids",
+    "dq_expected_tables",
 ]
 
 

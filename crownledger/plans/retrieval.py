@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from crownledger.operators import documents as R
@@ -96,16 +97,30 @@ def chunk_stats(t):
 
 @query("embed_chunks")
 def embed_chunks(t):
+    """Embedded chunks: their number, dimensions, and how many have unit length or, without a word, none."""
     embedded = S.embed(t.chunks().select("chunk_id", "chunk_to_embed"), "chunk_to_embed")
+    return _vector_stats(embedded)
+
+
+def _vector_stats(embedded):
     squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return embedded.select(
-        "chunk_id",
-        F.size("embedding").cast("bigint").alias("dims"),
-        F.size(F.filter("embedding", lambda x: x != 0)).cast("bigint").alias("nonzero"),
-        F.round(F.sqrt(squares), 3).alias("norm"),
+    return embedded.select(F.size("embedding").cast("bigint").alias("dims"), F.round(F.sqrt(squares), 3).alias("norm")).groupBy("dims").agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("norm") == 1).alias("unit"), F.count_if(F.col("norm") == 0).alias("empty")
     )
 
 
+def _letter_shares(texts):
+    """A caller's model for the example: relative frequencies of the letters a-z, as unit vectors."""
+    counts = np.array([[text.lower().count(chr(c)) for c in range(97, 123)] for text in texts], dtype=float).reshape(-1, 26)
+    return counts / np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
+
+
+@query("embed_with_model")
+def embed_with_model(t):
+    """The same through the hook for a caller's model."""
+    return _vector_stats(S.embed_with(t.chunks().select("chunk_id", "chunk_to_embed"), "chunk_to_embed", _letter_shares))
+
+
 @query("incremental_sync")
 def incremental_sync(t):
     """Index of all chunks against a source without toxic documents, with tidied texts and new passages."""
@@ -146,11 +161,18 @@ def topk_per_query(t):
 
 @query("vector_topk_ann")
 def vector_topk_ann(t):
-    """Approximate hits, each with a flag whether the exact search has it too."""
+    """Approximate hits: questions, hits, and whether at least nine in ten of the exact hits are among them.
+
+    The vectors have no clusters, so that most cells must be probed: radius 2 finds 56 to 60 % of the hits, 3 84 to 90 %, 4 94 to 98 %.
+    """
     questions = t.vector_questions()
-    ann = S.vector_topk_ann(questions, S.assign_cells(_corpus(t), DIM), TOP, DIM)
+    ann = S.vector_topk_ann(questions, S.assign_cells(_corpus(t), DIM), TOP, DIM, radius=4)
     exact = S.vector_topk(questions, _corpus(t), TOP).select("question", "chunk_id", F.lit(True).alias("exact"))
-    return ann.join(exact, ["question", "chunk_id"], "left").withColumn("exact", F.coalesce("exact", F.lit(False)))
+    return ann.join(exact, ["question", "chunk_id"], "left").agg(
+        F.countDistinct("question").alias("questions"),
+        F.count(F.lit(1)).alias("hits"),
+        (F.count("exact") >= 0.9 * F.count(F.lit(1))).alias("recalled"),
+    )
 
 
 @query("filtered_search")

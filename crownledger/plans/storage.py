@@ -31,9 +31,9 @@ def _result(t, rows, schema):
 
 @query("load_csv_ctas")
 def load_csv_ctas(t):
-    """Five tables created from CSV; a second run leaves them as they are."""
+    """All tables created from CSV; a second run leaves them as they are."""
     store = _store(t)
-    paths = files.export_csv(_declared(t, FIVE), f"{store.root}/raw")
+    paths = files.export_csv(_declared(t, TABLES), f"{store.root}/raw")
     for _ in range(2):
         tables = {n: store.create_if_missing(files.load_csv(t.spark, p, schema_of(n)), n) for n, p in paths.items()}
     return A.table_counts(tables)
@@ -41,9 +41,11 @@ def load_csv_ctas(t):
 
 @query("load_csv_infer")
 def load_csv_infer(t):
-    """Inferred schemas with row counts; a zip code turns into a number here, which declared schemas avoid."""
-    paths = files.export_csv(_declared(t, FIVE), f"{work_folder(t.spark)}/raw")
-    return files.profile({n: files.load_csv(t.spark, p) for n, p in paths.items()})
+    """Rows, columns and inferred text columns per table; a zip code turns into a number here, which declared schemas avoid."""
+    paths = files.export_csv(_declared(t, TABLES), f"{work_folder(t.spark)}/raw")
+    inferred = {n: files.load_csv(t.spark, p) for n, p in paths.items()}
+    texts = _result(t, [(n, sum(k == "string" for _, k in df.dtypes)) for n, df in inferred.items()], "table_name string, text_columns bigint")
+    return files.profile(inferred).drop("schema").join(texts, "table_name")
 
 
 @query("copy_into")
@@ -133,7 +135,7 @@ def csv_export(t):
 
 @query("table_preview")
 def table_preview(t):
-    return files.preview(_declared(t, FIVE)).select("table_name", "row_count", "column_count", "sample_rows")
+    return files.preview(_declared(t, TABLES)).select("table_name", "row_count", "column_count", "sample_rows")
 
 
 # --- streams ---------------------------------------------------------------------------------
@@ -141,9 +143,9 @@ def table_preview(t):
 
 @query("stream_ingest")
 def stream_ingest(t):
-    """Five tables ingested together, then again without new files."""
+    """All tables ingested together, then again without new files."""
     root = work_folder(t.spark)
-    paths = files.export_csv(_declared(t, FIVE), f"{root}/raw")
+    paths = files.export_csv(_declared(t, TABLES), f"{root}/raw")
     feeds = {n: ingest.Feed(p, schema_of(n)) for n, p in paths.items()}
     first = ingest.stream_ingest(t.spark, feeds, root)
     again = ingest.stream_ingest(t.spark, feeds, root).withColumnRenamed("rows", "rerun_rows")

@@ -51,8 +51,8 @@ def duck():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    rows_only = {"limit_sample", "load_csv_infer", "embed_chunks", "vector_topk_ann", "hybrid_search"}
-    assert set(QUERIES) - set(ORACLE) == rows_only
+    corpus = {q for q in QUERIES if q.startswith("op") or q == "pipeline"}
+    assert set(QUERIES) - set(ORACLE) - corpus == {"hybrid_search"}
 
 
 @pytest.mark.parametrize("name", SAMPLE)
@@ -72,13 +72,12 @@ def test_entry(spark):
 
 
 def test_approximate_hits_overlap_the_exact_ones(spark):
-    hits = QUERIES["vector_topk_ann"](spark, SMALL).collect()
-    assert sum(r["exact"] for r in hits) / len(hits) >= 0.6
+    assert QUERIES["vector_topk_ann"](spark, SMALL).first()["recalled"]
 
 
 def test_embeddings_are_normalised(spark):
     for r in QUERIES["embed_chunks"](spark, SMALL).collect():
-        assert r["dims"] == 1024 and (r["norm"] == 1.0 or r["nonzero"] == 0)
+        assert r["dims"] == 1024 and r["unit"] + r["empty"] == r["chunks"]
 
 
 def test_plans_have_no_cross_join(spark):
