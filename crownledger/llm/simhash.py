@@ -8,10 +8,15 @@ travels only once per key (137 times for radius 4 and 16 leading bits, instead o
 
 All that meet in one variant lie within the radius of one another, so that links to the smallest of them keep
 components whole without pairs; each link is verified by its bits.
+
+A fingerprint of shingles is within 4 bits for few pairs that are only four fifths alike. To deduplicate, documents
+therefore also meet by fingerprints of their distinct words, several with hashes of their own, where a changed word
+costs one feature and not one per shingle; such pairs are verified by the shingles of the texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 from math import ceil
@@ -30,6 +35,9 @@ SEED = 42
 KEY_BITS = 16  # leading bits that are the shuffle key
 SHARD_BYTES = 64 << 20  # of (key, fingerprint) entries in one shuffle partition
 CHUNK = 1 << 22  # variants that a task holds at once
+FAMILIES = 6  # fingerprints of distinct words per document
+SIMILARITY = 0.8  # of five-word shingles
+SIMILAR_WIDTH = 5
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -47,15 +55,29 @@ def fingerprint(text: bytes, width: int) -> int:
     return int.from_bytes(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int = 4) -> DataFrame:
-    """(key, fp) for every row; fp is the fingerprint as a signed long, zero for a text without words."""
+def word_prints(text: bytes, families: int = FAMILIES) -> list[int]:
+    """Fingerprints of the text's distinct words, one per family of hashes."""
+    words = set(text.lower().split())
+    hashed = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    out = []
+    for family in range(families):
+        own = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * family)
+        own = (own ^ (own >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        bits = np.unpackbits((own ^ (own >> np.uint64(31))).view(np.uint8).reshape(-1, 8), axis=1)
+        out.append(int(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(words)).view(np.int64)[0]))
+    return out
+
+
+def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int = 4, families: int = 0) -> DataFrame:
+    """(key, fp, w0, w1, ...) for every row; fp is the fingerprint as a signed long, zero for a text without words."""
     rows = docs.select(key.alias("key"), as_bytes(text).alias("text"))
-    out = schema(key=kind_of(rows, "key"), fp="long")
+    out = schema(key=kind_of(rows, "key"), fp="long", **{f"w{n}": "long" for n in range(families)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), width) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["key", "fp"])
+            found = [(fingerprint(t.as_py(), width), *word_prints(t.as_py(), families)) for t in batch.column(1)]
+            columns = zip(*found, strict=True) if found else [()] * (1 + families)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], out.names)
 
     return rows.mapInArrow(run, out)
 
@@ -111,11 +133,12 @@ def meetings(keys: np.ndarray, fps: np.ndarray, rest: dict[int, np.ndarray], hal
     return pairs[0][near], pairs[1][near]
 
 
-def links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints ``fp`` at most ``radius`` bits apart.
+def links(fps: DataFrame, radius: int = 4, near: bool = False) -> DataFrame:
+    """Links (family, a, b) that connect all distinct (family, fp) of a family at most ``radius`` bits apart.
 
-    Not every such pair is a row, but its two ends are always connected. An odd radius is cut to the
-    even one below for the ball and not supported; ``radius`` 0 has no links, for equal ones are one fingerprint.
+    Not every such pair is a row, but its two ends are always connected. With ``near`` all rows are such pairs, without it
+    a task replaces its links by fewer that connect the same. ``family`` is below 2**16 and may be left out. An odd
+    radius is refused, since each end takes half of the flips; ``radius`` 0 has no links.
     """
     if radius % 2 or radius < 0:
         raise ValueError("the radius must be even: each end takes half of the flips")
@@ -123,63 +146,121 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     lead, rest = flips(0, KEY_BITS, half), flips(0, 64 - KEY_BITS, half)
     masks = np.concatenate(list(lead.values()))
     ball = sum(len(lead[i]) * sum(len(rest[j]) for j in range(half - i + 1)) for i in lead)
-    session = fps.sparkSession
+    family = F.col("family") if "family" in fps.columns else F.lit(0)
     shards = ceil(fps.count() * len(masks) * 16 / SHARD_BYTES)
-    shards = max(int(session.conf.get("spark.sql.shuffle.partitions")), shards)
+    shards = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards)
+    first = np.uint64(KEY_BITS)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            kind, own = (c.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in batch.columns)
             for i in range(0, len(own), 4096):
                 fp = np.repeat(own[i : i + 4096], len(masks))
-                key = (fp >> np.uint64(64 - KEY_BITS)) ^ np.tile(masks, len(fp) // len(masks))
+                flip = np.tile(masks, len(fp) // len(masks))
+                key = np.repeat(kind[i : i + 4096] << first, len(masks)) | ((fp >> np.uint64(64 - KEY_BITS)) ^ flip)
                 shard = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(shards)
                 order = np.argsort(shard, kind="stable")
                 shard, entry = shard[order], np.stack((key, fp), axis=1)[order]
-                found, first = np.unique(shard, return_index=True)
-                packed = [part.tobytes() for part in np.split(entry, first[1:])] if len(found) else []
+                found, begin = np.unique(shard, return_index=True)
+                packed = [part.tobytes() for part in np.split(entry, begin[1:])] if len(found) else []
                 yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(packed, pa.binary())], ["shard", "entries"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for b in batches for x in b.column(0)]
-        entry = np.concatenate(entries) if entries else np.empty((0, 2), np.uint64)
-        entry = entry[np.argsort(entry[:, 0], kind="stable")]
+        parts = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for b in batches for x in b.column(0)]
+        entries = np.concatenate(parts) if parts else np.empty((0, 2), np.uint64)
+        entries = entries[np.argsort(entries[:, 0], kind="stable")]
         # whole keys per chunk; an entry has ball / len(masks) variants on average, the fingerprint's own key the most
-        starts = np.flatnonzero(np.r_[True, entry[1:, 0] != entry[:-1, 0]]) if len(entry) else np.empty(0, np.int64)
-        step, found = max(1, CHUNK * len(masks) // ball), []
-        cuts = [0]
-        for s in starts[1:].tolist():
-            if s - cuts[-1] >= step:
-                cuts.append(s)
-        for i, j in zip(cuts, [*cuts[1:], len(entry)], strict=True):
-            if j > i:
-                found.append(meetings(entry[i:j, 0], entry[i:j, 1], rest, half))
-        if found:
-            a, b = forest(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
-
-    emitted = fps.select("fp").mapInArrow(emit, schema(shard="long", entries="binary"))
+        step = max(1, CHUNK * len(masks) // ball)
+        for kind in np.unique(entries[:, 0] >> first):
+            entry = entries[entries[:, 0] >> first == kind]
+            key, fp = entry[:, 0] & np.uint64((1 << KEY_BITS) - 1), entry[:, 1]
+            cuts = [0]
+            for s in (np.flatnonzero(key[1:] != key[:-1]) + 1).tolist():
+                if s - cuts[-1] >= step:
+                    cuts.append(s)
+            found = [meetings(key[i:j], fp[i:j], rest, half) for i, j in zip(cuts, [*cuts[1:], len(key)], strict=True)]
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            a, b = np.unique(np.stack((a, b)), axis=1) if near else forest(a, b)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(a), kind).astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["family", "a", "b"]
+            )
+
+    emitted = fps.select(family.cast("long").alias("family"), "fp").mapInArrow(emit, schema(shard="long", entries="binary"))
     dealt = emitted.repartition(shards, "shard").select("entries")
-    return dealt.mapInArrow(meet, schema(a="long", b="long"))
+    return dealt.mapInArrow(meet, schema(family="long", a="long", b="long"))
+
+
+def similar(a: bytes, b: bytes, width: int = SIMILAR_WIDTH) -> float:
+    """Shared over all shingles, counted with repeats; two texts without words are equal."""
+    counts = []
+    for text in (a, b):
+        words = text.lower().split()
+        n = min(width, len(words))
+        counts.append(Counter(zip(*(words[i:] for i in range(n)), strict=False)))
+    shared = sum((counts[0] & counts[1]).values())
+    total = counts[0].total() + counts[1].total() - shared
+    return shared / total if total else 1.0
+
+
+def similar_links(docs: DataFrame, distinct: DataFrame, key: Column, text: str, radius: int, similarity: float, families: int) -> DataFrame:
+    """Links (a, b) of fingerprints whose first documents meet by their words and are alike by their shingles.
+
+    ``distinct``: (fp, first, w0, w1, ...). Pairs within ``radius`` by their own fingerprints are linked anyway and left out.
+    """
+    listed = F.array(*[F.struct(F.lit(n).alias("family"), F.col(f"w{n}").alias("word_print")) for n in range(families)])
+    owned = distinct.select("fp", F.inline(listed))
+    prints = written(owned.groupBy("family", "word_print").agg(F.min("fp").alias("least")))
+    same = owned.join(prints, ["family", "word_print"]).filter("fp != least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
+    met = links(prints.select("family", F.col("word_print").alias("fp")), radius, near=True)
+    ends = [prints.select("family", F.col("word_print").alias(x), F.col("least").alias(f"fp_{x}")) for x in ("a", "b")]
+    close = met.join(ends[0], ["family", "a"]).join(ends[1], ["family", "b"]).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > radius
+    pairs = same.union(close).filter(apart).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    pairs = written(pairs.distinct())
+    needed = distinct.select("fp", "first").join(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "fp", "left_semi")
+    texts = docs.select(key.alias("first"), as_bytes(text).alias("text")).join(needed, "first").dropDuplicates(["fp"])
+    texts = written(texts.select("fp", "text"))
+    both = pairs.join(texts.withColumnsRenamed({"fp": "a", "text": "text_a"}), "a").join(
+        texts.withColumnsRenamed({"fp": "b", "text": "text_b"}), "b"
+    )
+    out = schema(a="long", b="long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = [similar(x.as_py(), y.as_py()) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, out)
 
 
-def near_duplicates(docs: DataFrame, key: Column, text: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: Column, text: str = "text", width: int = 4, radius: int = 4,
+    similarity: float | None = None, families: int = FAMILIES,
+) -> DataFrame:
     """(key, fp, component) for every row of ``docs``: the smallest key of its group of near-duplicates.
 
-    Groups are the connected components of "at most ``radius`` bits apart". Null and empty texts have the
+    Groups are the connected components of "at most ``radius`` bits apart"; with ``similarity`` also of documents that are
+    at least so alike by five-word shingles, as far as their word fingerprints meet. Null and empty texts have the
     fingerprint zero and are linked like any other. A row without a key gets its group's smallest
     key, or null if the group has none. Repeated rows give repeated results; an empty table gives none.
 
     A large group of copies is one distinct fingerprint with its smallest key, made by a partial aggregate; only
     the last join meets its rows, on narrow rows whose hot key adaptive execution splits.
     """
-    marked = written(fingerprints(docs, key, text, width))
-    distinct = written(marked.groupBy("fp").agg(F.min("key").alias("first")))
-    roots = components(links(distinct, radius)).withColumnRenamed("node", "fp")
+    families = families if similarity else 0
+    marked = written(fingerprints(docs, key, text, width, families))
+    words = [f"w{n}" for n in range(families)]
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", *words)).alias("first")
+    distinct = marked.groupBy("fp").agg(first).select("fp", F.col("first.key").alias("first"), *[f"first.{w}" for w in words])
+    distinct = written(distinct)
+    found = links(distinct, radius).select("a", "b")
+    if similarity:
+        found = found.union(similar_links(docs, distinct, key, text, radius, similarity, families))
+    roots = components(found).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component"))
     grouped = written(placed.join(least, "root").select("fp", "component"))
-    return marked.join(grouped, "fp").select("key", "fp", "component")
+    return marked.select("key", "fp").join(grouped, "fp").select("key", "fp", "component")
 
 
 def op10_simhash(docs: DataFrame) -> DataFrame:
@@ -191,13 +272,13 @@ def op10_simhash(docs: DataFrame) -> DataFrame:
     )
 
 
-def dedup(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 4, radius: int = 4, similarity: float | None = SIMILARITY) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns: the one with the smallest doc_id.
 
-    Rows are told apart by doc_id and text; null ids come last, and of rows that agree in both one stays.
+    Groups are those of :func:`near_duplicates`, by fingerprint and, unless ``similarity`` is None, by likeness. Rows are told apart by doc_id and text; null ids come last, and of rows that agree in both one stays.
     """
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
-    groups = near_duplicates(docs, own, width=width, radius=radius)
+    groups = near_duplicates(docs, own, width=width, radius=radius, similarity=similarity)
     keep = groups.filter(F.col("key") == F.col("component")).select(F.col("key").alias("__row")).distinct()
     rows = docs.select(own.alias("__row"), whole_row(docs))
     return rows.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select("row.*")

@@ -6,7 +6,7 @@ import pytest
 from test_decontam import plain as likeness
 from test_mixing import n_words, plain_mix
 from test_quality import plain as judged
-from test_simhash import plain_groups, plain_print
+from test_simhash import plain_likeness
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
@@ -21,7 +21,7 @@ def expected(stage, rows, items):
     if stage == 0:
         return Counter(r for r in rows if judged(r[1])[-1])
     if stage == 1:
-        groups = plain_groups([plain_print(t) for _, t, _ in rows])
+        groups = plain_likeness([t for _, t, _ in rows])
         least = defaultdict(list)
         for r, g in zip(rows, groups, strict=True):
             least[g].append((r[0] is None, r[0] or 0, r))
