@@ -22,6 +22,7 @@ from crownledger.sources.scratch import written
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # total budget as a share of all sizes
 ROUNDS = 2  # a document is taken so many times at most
+KEY_BITS = 60  # of the hash that shuffles
 BLOCK_BITS = 10  # 1,024 blocks per source and round
 SLICES = 4096  # of the queue, per unit of virtual time; all targets are met near time 1
 
@@ -60,13 +61,14 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     first = F.min(F.when(F.col("level") <= F.col("limit"), F.struct("limit", "rank", "level"))).over(everything)
     target = F.least(limit.cast("double"), first["level"] * F.col("weight"))
     shared = levels.withColumn("target", F.coalesce(target, limit.cast("double")))
-    return shared.withColumn("budget", F.sum("target").over(everything)).select("rank", "source", "source_size", "target", "budget")
+    return shared.withColumn("budget", total).select("rank", "source", "source_size", "target", "budget")
 
 
 def place(turn: Column) -> Column:
     """A document's place in the shuffle of round ``turn``. Rows that agree in id and size share one place."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), turn.cast("string")).cast("binary"))
     return F.struct(
-        F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), turn).alias("key"),
+        F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long").alias("key"),
         F.col("doc_id").alias("id"),
         F.col("size").alias("size"),
     )
@@ -80,7 +82,7 @@ def queue(sized: DataFrame, shares: DataFrame) -> DataFrame:
         .filter("target > 0")
         .select("doc_id", "size", "rank", "source_size", "target", "budget", F.explode(turns).alias("turn"))
         .withColumn("place", place(F.col("turn")))
-        .withColumn("block", F.shiftright("place.key", 64 - BLOCK_BITS))
+        .withColumn("block", F.shiftright("place.key", KEY_BITS - BLOCK_BITS))
     )
     block = ["rank", "turn", "block"]
     earlier = W.partitionBy("rank", "turn").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
@@ -142,3 +144,37 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         .select("row", F.explode(F.array_repeat(F.lit(0), copies())).alias("copy"))
         .select("row.*")
     )
+
+
+#: The same queue without blocks and slices; targets by resharing the excess step by step.
+ORACLE_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS own, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY source
+), steps AS (
+  SELECT 0 AS step, source, own, rank, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, false AS full_, 0.0::DOUBLE AS target
+  FROM sources
+  UNION ALL
+  SELECT step + 1, source, own, rank, weight, full_ OR level * weight > 2 * own, CASE WHEN full_ THEN 2.0 * own ELSE level * weight END
+  FROM (SELECT *, (sum(own) OVER () * 1.5::DOUBLE - coalesce(sum(2 * own) FILTER (full_) OVER (), 0)) / (sum(weight) FILTER (NOT full_) OVER ()) AS level
+        FROM steps WHERE step <= (SELECT count(*) FROM sources))
+), targets AS (
+  SELECT source, own, rank, target::DOUBLE AS target FROM steps WHERE step = (SELECT max(step) FROM steps)
+), queued AS (
+  SELECT doc_id, size, rank, turn, own, target,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || turn), 1, 15))::BIGINT AS key
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source, (VALUES (0), (1)) AS turns(turn)
+  WHERE target > 0 AND (turn = 0 OR target > own)
+), timed AS (
+  SELECT *, (turn * own + sum(size) OVER (PARTITION BY rank, turn ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING))::DOUBLE
+            / target AS finish
+  FROM queued
+), used AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, rank, key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS done FROM timed
+), taken AS (
+  SELECT doc_id, rank, sum(size) FILTER (done <= (SELECT sum(size) * 1.5::DOUBLE FROM sized)) AS taken FROM used GROUP BY doc_id, rank
+)
+SELECT doc_id, size, own AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source LEFT JOIN taken USING (doc_id, rank)
+"""

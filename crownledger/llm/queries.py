@@ -30,4 +30,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_sharding": sharding.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL, "op9_quality": quality.ORACLE_SQL}
+    return {"op6_mixing": mixing.ORACLE_SQL, "op7_sharding": sharding.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL, "op9_quality": quality.ORACLE_SQL}

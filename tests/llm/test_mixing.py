@@ -1,8 +1,8 @@
+import hashlib
 import re
 from collections import defaultdict
 
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from crownledger.llm import mixing as M
@@ -34,9 +34,7 @@ def plain_mix(rows, weights=(5, 2, 1), share=1.5):
     target, queue = plain_targets(sizes, weights, share), []
 
     def key(i, turn):
-        first = xxhash.xxh64_intdigest(("" if i is None else str(i)).encode(), 42)
-        value = xxhash.xxh64_intdigest(turn.to_bytes(4, "little"), first)
-        return value - (1 << 64) * (value >> 63)
+        return int(hashlib.md5(f"{'' if i is None else i}:{turn}".encode()).hexdigest()[:15], 16)
 
     for rank, s in enumerate(target):
         for turn in range(2 if target[s] > sizes[s] else 1):
