@@ -196,7 +196,9 @@ class Index:
             size = self.sizes[number]
             n = size.n_words - WIDTH + 1
             # windows that cover a hit; each covers the n shingles from its start on
-            starts = np.unique(np.clip((hit[size_of == number][:, None] - np.arange(n)[None, :]).ravel(), 0, None))
+            own = hit[size_of == number]
+            edges = np.bincount(np.maximum(own - n + 1, 0), minlength=len(hashes) + 1) - np.bincount(own + 1, minlength=len(hashes) + 1)
+            starts = np.flatnonzero(np.cumsum(edges)[:-1])
             window, item = size.candidates(window_simhashes(hashes, starts, n), self.radius)
             for w, i in zip(starts[window].tolist(), size.items[item].tolist(), strict=True):
                 stop = min(w + size.n_words, len(tokens))
