@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from crownledger.operators import silver
 from crownledger.schemas import schema_of
-from crownledger.session import shuffle_partitions, work_folder
+from crownledger.session import ship_package, shuffle_partitions, work_folder
 from crownledger.sources import docs, files
 from crownledger.sources.scratch import written
 from crownledger.sources.tables import Store
@@ -178,6 +178,13 @@ def test_quoted_cells_and_fractions(spark, tmp_path):
     assert [(r[0], r[2] is not None) for r in loose] == [(2, False), (None, True)]
 
 
+def test_the_package_is_shipped_once(spark):
+    ship_package(spark)
+    before = list(spark.sparkContext._python_includes)
+    ship_package(spark)
+    assert before == spark.sparkContext._python_includes and "crownledger.zip" in before
+
+
 def test_session_helpers(spark):
     assert work_folder(spark) != work_folder(spark)
     assert shuffle_partitions(100 * 1024) > 500_000 and shuffle_partitions(0.01) == 8
