@@ -33,9 +33,9 @@ from crownledger.sources.scratch import written
 
 SEED = 42
 KEY_BITS = 16  # leading bits that are the shuffle key
-SHARD_BYTES = 64 << 20  # of (key, fingerprint) entries in one shuffle partition
-CHUNK = 1 << 22  # variants that a task holds at once
-FAMILIES = 6  # fingerprints of distinct words per document
+SHARD_BYTES = 16 << 20  # of (key, fingerprint) entries in one shuffle partition
+CHUNK = 1 << 20  # variants that a task holds at once
+FAMILIES = 4  # fingerprints of distinct words per document
 SIMILARITY = 0.8  # of five-word shingles
 SIMILAR_WIDTH = 5
 
@@ -111,21 +111,23 @@ def meetings(keys: np.ndarray, fps: np.ndarray, rest: dict[int, np.ndarray], hal
     """Links (a, b) of the fingerprints that have a variant with one of ``keys`` in common; b is the smallest."""
     low = np.uint64(64 - KEY_BITS)
     used = np.bitwise_count(keys ^ (fps >> low))
-    variants, owners = [], []
+    spheres = []  # owners, their flipped heads, masks for the rest
     for spent in range(half + 1):
         at = used == spent
         base = (keys[at] << low) | (fps[at] & np.uint64((1 << (64 - KEY_BITS)) - 1))
-        for n in range(half - spent + 1):
-            variants.append((base[:, None] ^ rest[n][None, :]).ravel())
-            owners.append(np.repeat(fps[at], len(rest[n])))
-    variant, owner = np.concatenate(variants), np.concatenate(owners)
-    order = np.sort(variant)
-    met = np.unique(order[1:][order[1:] == order[:-1]])
+        spheres += [(fps[at], base, rest[n]) for n in range(half - spent + 1)]
+    variants = np.concatenate([(base[:, None] ^ masks[None, :]).ravel() for _, base, masks in spheres])
+    variants.sort()
+    met = np.unique(variants[1:][variants[1:] == variants[:-1]])
     if not len(met):
         return met, met
-    at = np.minimum(np.searchsorted(met, variant), len(met) - 1)
-    hit = met[at] == variant
-    at, owner = at[hit], owner[hit]
+    found = []
+    for owner, base, masks in spheres:  # made once more, so that owners need not be kept for all of them
+        variant = (base[:, None] ^ masks[None, :]).ravel()
+        at = np.minimum(np.searchsorted(met, variant), len(met) - 1)
+        hit = np.flatnonzero(met[at] == variant)
+        found.append((at[hit], owner[hit // len(masks)]))
+    at, owner = (np.concatenate(x) for x in zip(*found, strict=True))
     least = np.full(len(met), np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(least, at, owner)
     pairs = np.unique(np.stack((owner, least[at])), axis=1)
