@@ -208,12 +208,15 @@ def similar_links(docs: DataFrame, distinct: DataFrame, key: Column, text: str,
     """Links (a, b) of fingerprints whose first documents meet by their words and are alike by their shingles.
 
     ``distinct``: (fp, first, w0, w1, ...). Pairs within ``radius`` by their own fingerprints are linked anyway and left out.
+    Each document is held against its smallest neighbour in every family, so that a large group of copies costs as
+    many comparisons as it has members; one that is alike only to other neighbours in all families stays apart.
     """
     listed = F.array(*[F.struct(F.lit(n).alias("family"), F.col(f"w{n}").alias("word_print")) for n in range(families)])
     owned = distinct.select("fp", F.inline(listed))
     prints = written(owned.groupBy("family", "word_print").agg(F.min("fp").alias("least")))
     same = owned.join(prints, ["family", "word_print"]).filter("fp != least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
-    met = links(prints.select("family", F.col("word_print").alias("fp")), radius, near=True)
+    near = links(prints.select("family", F.col("word_print").alias("fp")), radius, near=True)
+    met = near.groupBy("family", "a").agg(F.min("b").alias("b"))
     ends = [prints.select("family", F.col("word_print").alias(x), F.col("least").alias(f"fp_{x}")) for x in ("a", "b")]
     close = met.join(ends[0], ["family", "a"]).join(ends[1], ["family", "b"]).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > radius
