@@ -10,8 +10,8 @@ All that meet in one variant lie within the radius of one another, so that links
 components whole without pairs; each link is verified by its bits.
 
 A fingerprint of shingles is within 4 bits for few pairs that are only four fifths alike. To deduplicate, documents
-therefore also meet by fingerprints of their distinct words, several with hashes of their own, where a changed word
-costs one feature and not one per shingle; such pairs are verified by the shingles of the texts.
+therefore also meet by their shingles themselves: of each text the rarest fifth, and one more, are sent, for texts four fifths
+alike must share one of them whatever was changed, added or cut; such pairs are verified by the shingles of the texts.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +36,11 @@ SEED = 42
 KEY_BITS = 16  # leading bits that are the shuffle key
 SHARD_BYTES = 16 << 20  # of (key, fingerprint) entries in one shuffle partition
 CHUNK = 1 << 20  # variants that a task holds at once
-FAMILIES = 6  # fingerprints of distinct words per document
+FAMILIES = 6  # fingerprints of distinct words that :func:`word_prints` makes
 SIMILARITY = 0.8  # of five-word shingles
 SIMILAR_WIDTH = 5
+CELLS = 1 << 22  # counters of features in a task
+FREQUENT_CELLS = 1 << 18  # cells that are broadcast, at most
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -68,16 +71,18 @@ def word_prints(text: bytes, families: int = FAMILIES) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int = 4, families: int = 0) -> DataFrame:
-    """(key, fp, w0, w1, ...) for every row; fp is the fingerprint as a signed long, zero for a text without words."""
-    rows = docs.select(key.alias("key"), as_bytes(text).alias("text"))
-    out = schema(key=kind_of(rows, "key"), fp="long", **{f"w{n}": "long" for n in range(families)})
+def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int = 4) -> DataFrame:
+    """(key, text_id, fp, n) for every row; fp is the fingerprint as a signed long, zero for a text without words, n the shingles."""
+    rows = docs.select(key.alias("key"), as_bytes(text).alias("text"), F.xxhash64(as_bytes(text)).alias("text_id"))
+    out = schema(key=kind_of(rows, "key"), text_id="long", fp="long", n="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(fingerprint(t.as_py(), width), *word_prints(t.as_py(), families)) for t in batch.column(1)]
-            columns = zip(*found, strict=True) if found else [()] * (1 + families)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], out.names)
+            texts = batch.column(1).to_pylist()
+            prints = pa.array([fingerprint(t, width) for t in texts], pa.int64())
+            sizes = [len(t.split()) for t in texts]
+            n = pa.array([max(min(w, 1), w - SIMILAR_WIDTH + 1) for w in sizes], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), prints, n], out.names)
 
     return rows.mapInArrow(run, out)
 
@@ -204,43 +209,167 @@ def similar(a: bytes, b: bytes, width: int = SIMILAR_WIDTH) -> float:
     return shared / total if total else 1.0
 
 
-def similar_links(docs: DataFrame, distinct: DataFrame, key: Column, text: str, radius: int, similarity: float, families: int) -> DataFrame:
-    """Links (a, b) of fingerprints whose first documents meet by their words and are alike by their shingles.
+def features(text: bytes, width: int = SIMILAR_WIDTH) -> np.ndarray:
+    """A hash per shingle as :func:`similar` counts them: the n-th repeat of a shingle is a feature of its own."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    hashed = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    k = min(width, len(words))
+    n = len(words) - k + 1
+    own = np.full(n, k, np.uint64)
+    for i in range(k):
+        own = (own ^ hashed[i : i + n]) * np.uint64(0xBF58476D1CE4E5B9)
+        own ^= own >> np.uint64(29)
+    own.sort()
+    begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    nth = np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))
+    own = (own ^ (nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0x94D049BB133111EB)
+    return own ^ (own >> np.uint64(31))
+
+
+def frequent_cells(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of features that are frequent in some task, and how frequent they are; bounded, in order of cells.
+
+    They only order the features, see :func:`prefixes`; any order finds the same pairs, and a good one few others.
+    """
 
-    ``distinct``: (fp, first, w0, w1, ...). Pairs within ``radius`` by their own fingerprints are linked anyway and left out.
-    Each document is held against its smallest neighbour in every family, so that a large group of copies costs as
-    many comparisons as it has members; one that is alike only to other neighbours in all families stays apart.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.uint32)
+        for batch in batches:
+            for value in batch.column(0):
+                cells, n = np.unique(features(value.as_py()) % np.uint64(CELLS), return_counts=True)
+                total[cells] += n.astype(np.uint32)
+        often = np.flatnonzero(total >= max(8, 4 * total.mean()))
+        for i in range(0, len(often), 1 << 16):
+            part = often[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], ["cell", "n"])
+
+    counted = docs.select(as_bytes(text).alias("text")).mapInArrow(run, schema(cell="long", n="long"))
+    table = counted.groupBy("cell").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "cell").limit(FREQUENT_CELLS).toArrow()
+    cells, n = (table[c].to_numpy().astype(np.int64) for c in ("cell", "n"))
+    order = np.argsort(cells)
+    return cells[order], n[order]
+
+
+def prefix(own: np.ndarray, cells: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
+    """The first features of a text, rare ones first: so many that two texts as alike as ``similarity`` share one.
+
+    Such texts share at least ``similarity`` times the features of either, so at most the others can come before the
+    first that they share.
     """
-    listed = F.array(*[F.struct(F.lit(n).alias("family"), F.col(f"w{n}").alias("word_print")) for n in range(families)])
-    owned = distinct.select("fp", F.inline(listed))
-    prints = written(owned.groupBy("family", "word_print").agg(F.min("fp").alias("least")))
-    same = owned.join(prints, ["family", "word_print"]).filter("fp != least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
-    near = links(prints.select("family", F.col("word_print").alias("fp")), radius, near=True)
-    met = near.groupBy("family", "a").agg(F.min("b").alias("b"))
-    ends = [prints.select("family", F.col("word_print").alias(x), F.col("least").alias(f"fp_{x}")) for x in ("a", "b")]
-    close = met.join(ends[0], ["family", "a"]).join(ends[1], ["family", "b"]).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > radius
-    pairs = same.union(close).filter(apart).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    pairs = written(pairs.distinct())
-    needed = distinct.select("fp", "first").join(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "fp", "left_semi")
-    texts = docs.select(key.alias("first"), as_bytes(text).alias("text")).join(needed, "first").dropDuplicates(["fp"])
-    texts = written(texts.select("fp", "text"))
-    both = pairs.join(texts.withColumnsRenamed({"fp": "a", "text": "text_a"}), "a").join(
-        texts.withColumnsRenamed({"fp": "b", "text": "text_b"}), "b"
+    most = len(own) - ceil(similarity * len(own) - 1e-9) + 1
+    if len(cells):
+        cell = (own % np.uint64(CELLS)).astype(np.int64)
+        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
+        weight = np.where(cells[at] == cell, n[at], 0)
+    else:
+        weight = np.zeros(len(own), np.int64)
+    return own[np.lexsort((own, weight))[:most]]
+
+
+def shared_features(docs: DataFrame, text: str, similarity: float) -> DataFrame:
+    """(feature, text_id) of the features that the prefixes of several distinct texts have in common."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_cells(docs, text))
+    rows = docs.select(F.xxhash64(as_bytes(text)).alias("text_id"), as_bytes(text).alias("text"))
+    size = docs.select(F.sum(F.octet_length(as_bytes(text)))).first()[0] or 0
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(size / SHARD_BYTES))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, n = shared.value
+        seen: set[int] = set()  # copies in one task are sent once
+        held: list[np.ndarray] = []
+
+        def packed() -> pa.RecordBatch:
+            entry = np.concatenate(held) if held else np.empty((0, 2), np.uint64)
+            held.clear()
+            shard = entry[:, 0] % np.uint64(shards)
+            order = np.argsort(shard, kind="stable")
+            entry = entry[order]
+            found, begin = np.unique(shard[order], return_index=True)
+            parts = [part.tobytes() for part in np.split(entry, begin[1:])] if len(found) else []
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(parts, pa.binary())], ["shard", "entries"])
+
+        size = 0
+        for batch in batches:
+            for text_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if text_id in seen:
+                    continue
+                seen = seen if len(seen) < CHUNK else set()
+                seen.add(text_id)
+                first = prefix(features(value.as_py()), cells, n, similarity)
+                held.append(np.stack((first, np.full(len(first), np.int64(text_id).astype(np.uint64))), axis=1))
+                size += len(first)
+                if size >= CHUNK:
+                    yield packed()
+                    size = 0
+        yield packed()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for b in batches for x in b.column(0)]
+        entry = np.concatenate(parts) if parts else np.empty((0, 2), np.uint64)
+        entry = entry[np.lexsort((entry[:, 1], entry[:, 0]))]
+        fresh = np.ones(len(entry), bool)  # the same text comes from several tasks
+        fresh[1:] = (entry[1:] != entry[:-1]).any(axis=1)
+        entry = entry[fresh]
+        same = entry[1:, 0] == entry[:-1, 0]
+        met = entry[np.append(same, False) | np.insert(same, 0, False)[: len(entry)]] if len(entry) else entry
+        for i in range(0, len(met), 1 << 16):
+            part = met[i : i + (1 << 16)].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["feature", "text_id"])
+
+    emitted = rows.mapInArrow(emit, schema(shard="long", entries="binary"))
+    return emitted.repartition(shards, "shard").select("entries").mapInArrow(meet, schema(feature="long", text_id="long"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float) -> DataFrame:
+    """The rows (a, b, fp_a, fp_b) of ``pairs`` whose texts a and b are alike."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
+    texts = docs.select(F.xxhash64(as_bytes(text)).alias("text_id"), as_bytes(text).alias("text"))
+    texts = texts.join(needed, "text_id", "left_semi").select("text_id", "text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([packer.compress(t.as_py()) for t in batch.column(1)], pa.binary())], batch.schema.names)
+
+    texts = written(texts.mapInArrow(pack, schema(text_id="long", text="binary")).dropDuplicates(["text_id"]))
+    both = pairs.join(texts.withColumnsRenamed({"text_id": "a", "text": "text_a"}), "a").join(
+        texts.withColumnsRenamed({"text_id": "b", "text": "text_b"}), "b"
     )
-    out = schema(a="long", b="long")
+    names = ["a", "b", "fp_a", "fp_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            alike = [similar(x.as_py(), y.as_py()) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
+            alike = [similar(unpack(x.as_py()), unpack(y.as_py())) >= similarity for x, y in zip(batch.column(4), batch.column(5), strict=True)]
+            yield batch.select(names).filter(pa.array(alike, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, out)
+    return both.select(*names, "text_a", "text_b").mapInArrow(run, schema(**dict.fromkeys(names, "long")))
 
 
+def similar_links(docs: DataFrame, found: DataFrame, distinct: DataFrame, text: str, similarity: float) -> DataFrame:
+    """Links (a, b) of fingerprints that connect all texts alike by their shingles, given the links ``found``.
+
+    ``distinct``: (text_id, fp, n) of all distinct texts. Texts that are alike share a feature of their prefixes. Each is
+    first held against the smallest text with the same feature, so that a large group of copies costs as many comparisons as it
+    has members.
+    """
+    known = distinct.join(components(found).withColumnRenamed("node", "fp"), "fp", "left").select("text_id", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    shared = written(shared_features(docs, text, similarity).join(known, "text_id"))
+    least = shared.groupBy("feature").agg(F.min(F.struct("text_id", "fp", "n", "root")).alias("first"), F.min("root").alias("low"), F.max("root").alias("high"))
+    least = least.filter("low != high").select("feature", "first")
+    near_size = F.least("n", "first.n") >= F.greatest("n", "first.n") * (similarity - 1e-9)
+    pairs = shared.join(least, "feature").filter(near_size & (F.col("root") != F.col("first.root")))
+    pairs = pairs.select(F.col("text_id").alias("a"), F.col("first.text_id").alias("b"), F.col("fp").alias("fp_a"), F.col("first.fp").alias("fp_b"))
+    pairs = written(pairs.distinct())
+    alike = written(verified(pairs, docs, text, similarity))
+    links = alike.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+    return links
+
 def near_duplicates(
     docs: DataFrame, key: Column, text: str = "text", width: int = 4, radius: int = 4,
-    similarity: float | None = None, families: int = FAMILIES,
+    similarity: float | None = None,
 ) -> DataFrame:
     """(key, fp, component) for every row of ``docs``: the smallest key of its group of near-duplicates.
 
@@ -252,15 +381,14 @@ def near_duplicates(
     A large group of copies is one distinct fingerprint with its smallest key, made by a partial aggregate; only
     the last join meets its rows, on narrow rows whose hot key adaptive execution splits.
     """
-    families = families if similarity else 0
-    marked = written(fingerprints(docs, key, text, width, families))
-    words = [f"w{n}" for n in range(families)]
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", *words)).alias("first")
-    distinct = marked.groupBy("fp").agg(first).select("fp", F.col("first.key").alias("first"), *[f"first.{w}" for w in words])
-    distinct = written(distinct)
+    marked = written(fingerprints(docs, key, text, width))
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("first")
+    distinct = written(marked.groupBy("fp").agg(first).select("fp", F.col("first.key").alias("first")))
     found = links(distinct, radius).select("a", "b")
     if similarity:
-        found = found.union(similar_links(docs, distinct, key, text, radius, similarity, families))
+        found = written(found)
+        texts = written(marked.groupBy("text_id").agg(F.first("fp").alias("fp"), F.first("n").alias("n")))
+        found = found.union(similar_links(docs, found, texts, text, similarity))
     roots = components(found).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component"))

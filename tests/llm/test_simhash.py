@@ -150,3 +150,17 @@ def test_ids_of_any_kind(spark):
     docs = spark.createDataFrame([("b", "x y z"), ("a", "x y z"), ("c", "p q r")], "doc_id string, text string")
     got = {r.key: r.component for r in simhash.near_duplicates(docs, F.col("doc_id")).collect()}
     assert got == {"a": "a", "b": "a", "c": "c"}
+
+
+def test_added_and_cut_copies_are_found(spark):
+    """Copies with words appended, put before or cut off, alike by 0.8 to 0.9, all go."""
+    rng = random.Random(3)
+    docs, copies = [], []
+    for i in range(60):
+        words = [f"w{rng.randrange(20_000)}" for _ in range(rng.randrange(80, 500))]
+        more = [f"new{rng.randrange(10**6)}" for _ in range(int(len(words) * rng.choice([0.1, 0.15, 0.2])))]
+        copy = [words + more, more + words, words[len(more) :], words[: len(words) - len(more)]][i % 4]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        copies += [2 * i + 1] if simhash.similar(docs[-1][1].encode(), docs[-2][1].encode()) >= 0.8 else []
+    kept = {r.doc_id for r in simhash.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert len(copies) > 40 and not kept & set(copies)
