@@ -353,7 +353,8 @@ def similar_links(docs: DataFrame, found: DataFrame, distinct: DataFrame, text:
 
     ``distinct``: (text_id, fp, n) of all distinct texts. Texts that are alike share a feature of their prefixes. Each is
     first held against the smallest text with the same feature, so that a large group of copies costs as many comparisons as it
-    has members.
+    has members. Then all texts with the same feature that are not connected yet are held against one another, so
+    that no pair is lost because both are unlike the smallest.
     """
     known = distinct.join(components(found).withColumnRenamed("node", "fp"), "fp", "left").select("text_id", "fp", "n", F.coalesce("root", "fp").alias("root"))
     shared = written(shared_features(docs, text, similarity).join(known, "text_id"))
@@ -362,10 +363,21 @@ def similar_links(docs: DataFrame, found: DataFrame, distinct: DataFrame, text:
     near_size = F.least("n", "first.n") >= F.greatest("n", "first.n") * (similarity - 1e-9)
     pairs = shared.join(least, "feature").filter(near_size & (F.col("root") != F.col("first.root")))
     pairs = pairs.select(F.col("text_id").alias("a"), F.col("first.text_id").alias("b"), F.col("fp").alias("fp_a"), F.col("first.fp").alias("fp_b"))
-    pairs = written(pairs.distinct())
+    pairs = written(pairs.groupBy("a", "fp_a").agg(F.min(F.struct("b", "fp_b")).alias("to")).select("a", "to.b", "fp_a", "to.fp_b"))
     alike = written(verified(pairs, docs, text, similarity))
     links = alike.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
-    return links
+    roots = components(found.union(links)).withColumnRenamed("node", "fp")
+    member = shared.drop("root").join(roots, "fp", "left").select("feature", "text_id", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    split = member.groupBy("feature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("feature")
+    open_ = written(member.join(split, "feature", "left_semi"))
+    ends = [open_.select("feature", *[F.col(c).alias(f"{c}_{x}") for c in ("text_id", "fp", "n", "root")]) for x in ("a", "b")]
+    near_size = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (similarity - 1e-9)
+    others = ends[0].join(ends[1], "feature").filter((F.col("root_a") < F.col("root_b")) & near_size)
+    others = others.select(F.greatest("text_id_a", "text_id_b").alias("a"), F.least("text_id_a", "text_id_b").alias("b"),
+        F.when(F.col("text_id_a") > F.col("text_id_b"), F.col("fp_a")).otherwise(F.col("fp_b")).alias("fp_a"),
+        F.when(F.col("text_id_a") > F.col("text_id_b"), F.col("fp_b")).otherwise(F.col("fp_a")).alias("fp_b")).distinct()
+    others = written(others.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    return links.union(verified(others, docs, text, similarity).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
 
 def near_duplicates(
     docs: DataFrame, key: Column, text: str = "text", width: int = 4, radius: int = 4,

@@ -164,3 +164,20 @@ def test_added_and_cut_copies_are_found(spark):
         copies += [2 * i + 1] if simhash.similar(docs[-1][1].encode(), docs[-2][1].encode()) >= 0.8 else []
     kept = {r.doc_id for r in simhash.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
     assert len(copies) > 40 and not kept & set(copies)
+
+
+def test_copies_are_found_beside_an_unlike_text_of_the_same_words(spark):
+    """Of texts with the same words, some are alike, but none is like the smallest or largest of all."""
+    rng = random.Random(4)
+    for n in range(3):
+        words = [f"t{n}w{i}" for i in range(200)]
+        turned = [words[:70] + words[68:200], words[:40] + words[20:200], words[30:] + words[:8], words[:150], words[25:175]]
+        texts = [*turned, *(" ".join(rng.sample(words, 200)).split() for _ in range(3))]
+        texts = list(dict.fromkeys(" ".join(t) for t in texts))
+        kept = simhash.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        alike = [[simhash.similar(a.encode(), b.encode()) >= 0.8 for b in texts] for a in texts]
+        group = plain_groups([plain_print(t) for t in texts])
+        for i, j in combinations(range(len(texts)), 2):
+            if alike[i][j] and group[i] != group[j]:
+                group = [group[i] if g == group[j] else g for g in group]
+        assert len(kept) == len(set(group)) < len(texts)
