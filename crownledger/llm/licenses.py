@@ -1,8 +1,9 @@
 """License scans by conditional compression.
 
 A candidate block is compressed once alone and once per template with the template as a raw zstandard dictionary.
-The template that saves most bytes is the nearest; the best few by saving are confirmed by the
-wording itself: the words of the template that the block lacks, and the words it has instead.
+The templates are taken by saving and confirmed by the wording itself: the words of the template that the block
+lacks, and the words it has instead. Saving orders them and drops none; a template is left out only if the block
+has too few of its words in any order, since the comparison in order cannot find more.
 
 Candidate blocks are the words around each anchor word (:data:`ANCHOR`), as many on either side as the longest
 template has; a notice without any anchor word is not a candidate. Long texts cost one search for anchors, and
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -24,7 +26,6 @@ from pyspark.sql import DataFrame
 from crownledger.llm.text import as_bytes, kind_of, schema
 
 SIMILARITY = 0.8  # share of the template's words that must be there, in order
-RANKED = 3  # templates by saving that are compared word by word
 LEVEL = 3
 
 #: fixed values: the wording of common notices
@@ -85,15 +86,16 @@ class Template:
     def __init__(self, name: str, text: str):
         self.name, data = name, text.encode()
         self.words = [w.lower() for w in WORD.findall(data)]
+        self.bag = Counter(self.words)
         self.packer = zstandard.ZstdCompressor(
             level=LEVEL, dict_data=zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False
         )
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str] = TEMPLATES, similarity: float = SIMILARITY, ranked: int = RANKED):
+    def __init__(self, templates: dict[str, str] = TEMPLATES, similarity: float = SIMILARITY):
         self.templates = [Template(*t) for t in templates.items()]
-        self.similarity, self.ranked = similarity, ranked
+        self.similarity = similarity
         self.reach = max(len(t.words) for t in self.templates)
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
@@ -125,10 +127,11 @@ class Scanner:
         alone = len(self.plain.compress(block))
         savings = sorted(((alone - len(t.packer.compress(block)), -i) for i, t in enumerate(self.templates)), reverse=True)
         own = [w[0].lower() for w in words]
-        best = None
-        for saved, i in savings[: self.ranked]:
+        bag, best = Counter(own), None
+        for saved, i in savings:
             template = self.templates[-i]
-            match = self._confirmed(template, own) if saved > 0 else None
+            common = sum(min(n, bag[w]) for w, n in template.bag.items())
+            match = self._confirmed(template, own) if common >= self.similarity * len(template.words) else None
             if match and (best is None or match[2] > best[0]):
                 first, last, equal, differences = match
                 place = words[first].start(), words[last - 1].end()

@@ -41,6 +41,15 @@ def test_several_notices_in_order():
     assert names((L.TEMPLATES["GPL-short"] + "\n" + L.TEMPLATES["MIT"] + "\n") * 200) == ["GPL-short", "MIT"] * 200
 
 
+@pytest.mark.parametrize("name", ["MIT-short", "CC-short", "Rights-reserved", "Apache-short", "GPL-short", "CC"])
+def test_short_notice_beside_cut_texts_is_found(name):
+    """Cut texts of other licenses save more bytes, but are none themselves."""
+    cut = [L.TEMPLATES[n].split() for n in ("MPL", "ISC", "BSD", "MIT")]
+    near = "\n".join(" ".join(w[: len(w) * 6 // 10]) for w in cut)
+    for text in (near + "\n" + L.TEMPLATES[name], L.TEMPLATES[name] + "\n" + near):
+        assert names(text) == [name]
+
+
 def test_versions_are_differences():
     found = SCANNER.notices(b"Licensed under the Apache License, Version 3.1.")
     assert found[0].license == "Apache-short" and found[0].differences == ("-2.0", "+3.1")
