@@ -4,11 +4,11 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from crownledger.session import build_session  # noqa: E402
+from support import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
+from crownledger.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -31,8 +31,3 @@ def lake(spark):
     from crownledger.bindings import Lake
 
     return Lake(spark, SMALL)
-
-
-def rows(df, *cols):
-    out = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in out.collect()), key=repr)

@@ -1,7 +1,7 @@
 from datetime import date
 from decimal import Decimal as D
 
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from crownledger.operators import adjudication as B

@@ -1,6 +1,6 @@
 import random
 
-from conftest import rows
+from support import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,6 +1,6 @@
 from datetime import date
 
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X

@@ -1,12 +1,17 @@
 """The driver contract, and the queries against their SQL on the smallest folder."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 import __spark_entry__ as entry
 from tools.compare import SOURCES, canon
 
+ROOT = Path(__file__).resolve().parent.parent
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 # One query per operator family; tools/compare.py runs all of them.
@@ -84,3 +89,16 @@ def test_plans_have_no_cross_join(spark):
     for name in ["gold_kpi_summary", "cross_join_pairs", "coverage_matrix", "deductible_accumulator", "dq_recompute_status"]:
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "crownledger.llm", "corpus_pipeline"])
+def test_entry_without_the_corpus_operators(missing):
+    """A package that only the corpus operators need, or they themselves, may be missing: all other queries stay."""
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None\n"
+        "import __spark_entry__ as entry\n"
+        "names = set(entry.queries())\n"
+        "assert 'q_denial_rate_by_payer' in names and set(entry.oracle_sql()) <= names\n"
+        "assert not any(n.startswith('op1') for n in names) and 'pipeline' not in names\n"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)

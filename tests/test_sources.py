@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from crownledger.operators import silver
