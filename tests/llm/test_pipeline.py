@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from test_decontam import plain as likeness
 from test_mixing import n_words, plain_mix
-from test_quality import plain as judged
+from test_cascade import plain as judged
 from test_simhash import plain_likeness
 
 import __spark_entry__ as entry
