@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownledger.llm import brown, decontam, licenses, mixing, quality, secrets, sharding, simhash, tokens, warc
+from crownledger.llm import (
+    boilerplate,
+    brown,
+    decontam,
+    dialogue,
+    lexical,
+    licenses,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    tokens,
+    warc,
+)
 from crownledger.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +40,17 @@ def queries() -> dict[str, Query]:
         "op8_warc": lambda spark, folder: warc.op8_warc(read(spark, folder, "pages")),
         "op9_quality": lambda spark, folder: quality.op9_quality(read(spark, folder, "documents")),
         "op10_simhash": lambda spark, folder: simhash.op10_simhash(read(spark, folder, "documents")),
+        "op11_dialogue": lambda spark, folder: dialogue.op11_dialogue(read(spark, folder, "conversations")),
+        "op12_boilerplate": lambda spark, folder: boilerplate.op12_boilerplate(read(spark, folder, "pages")),
+        "op13_lexical": lambda spark, folder: lexical.op13_lexical(read(spark, folder, "documents"), read(spark, folder, "benchmark")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE_SQL, "op7_sharding": sharding.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL, "op9_quality": quality.ORACLE_SQL}
+    return {
+        "op6_mixing": mixing.ORACLE_SQL,
+        "op7_sharding": sharding.ORACLE_SQL,
+        "op8_warc": warc.ORACLE_SQL,
+        "op9_quality": quality.ORACLE_SQL,
+        "op13_lexical": lexical.ORACLE_SQL,
+    }
