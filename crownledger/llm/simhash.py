@@ -4,43 +4,40 @@ Two fingerprints at most ``2 * half`` bits apart have a common variant at most `
 distinct fingerprint emits all its variants within half the radius, and those that meet in a variant are
 linked. The variants are emitted in two steps: flips in the leading bits before the shuffle, whose key they
 change, and flips in the rest after it. Both together are the whole ball, but a fingerprint
-travels only once per key (137 times for radius 4 and 16 leading bits, instead of 2,081).
+travels only once per key (137 times for radius 4 and 16 leading bits, instead of 2,081). Keys under which too many variants
+would meet are counted first; there the next 16 bits are flipped before the shuffle, too, and the 16 after these if need be.
 
 All that meet in one variant lie within the radius of one another, so that links to the smallest of them keep
 components whole without pairs; each link is verified by its bits.
 
-A fingerprint of shingles is within 4 bits for few pairs that are only four fifths alike. To deduplicate, documents
-therefore also meet by their shingles themselves: of each text the rarest fifth, and one more, are sent, for texts four fifths
-alike must share one of them whatever was changed, added or cut; such pairs are verified by the shingles of the texts.
+A fingerprint of shingles is within 4 bits for few pairs that are only four fifths alike. To deduplicate, documents are
+therefore also held against one another by their shingles, see :mod:`crownledger.llm.likeness`.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownledger.llm.components import components
+from crownledger.llm.likeness import alike_links, bitmap, features
 from crownledger.llm.text import as_bytes, kind_of, schema, whole_row
 from crownledger.sources.scratch import written
 
 SEED = 42
-KEY_BITS = 16  # leading bits that are the shuffle key
+DEPTHS = (16, 32, 48)  # leading bits that are a shuffle key, at first and where too many would meet
+HOT_VARIANTS = 1 << 22  # more than these under one key are split
+HOT_KEYS = 1 << 17  # keys of one depth that are split, at most; they are broadcast
 SHARD_BYTES = 16 << 20  # of (key, fingerprint) entries in one shuffle partition
 CHUNK = 1 << 20  # variants that a task holds at once
-FAMILIES = 6  # fingerprints of distinct words that :func:`word_prints` makes
 SIMILARITY = 0.8  # of five-word shingles
-SIMILAR_WIDTH = 5
-CELLS = 1 << 22  # counters of features in a task
-FREQUENT_CELLS = 1 << 18  # cells that are broadcast, at most
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -58,31 +55,21 @@ def fingerprint(text: bytes, width: int) -> int:
     return int.from_bytes(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > n).tobytes(), "big", signed=True)
 
 
-def word_prints(text: bytes, families: int = FAMILIES) -> list[int]:
-    """Fingerprints of the text's distinct words, one per family of hashes."""
-    words = set(text.lower().split())
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
-    out = []
-    for family in range(families):
-        own = (hashed ^ (hashed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * family)
-        own = (own ^ (own >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        bits = np.unpackbits((own ^ (own >> np.uint64(31))).view(np.uint8).reshape(-1, 8), axis=1)
-        out.append(int(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(words)).view(np.int64)[0]))
-    return out
+def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int = 4, bitmaps: bool = False) -> DataFrame:
+    """(key, text_id, fp) for every row; fp is the fingerprint as a signed long, zero for a text without words.
 
-
-def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int = 4) -> DataFrame:
-    """(key, text_id, fp, n) for every row; fp is the fingerprint as a signed long, zero for a text without words, n the shingles."""
+    With ``bitmaps`` also ``bits``, the :func:`~crownledger.llm.likeness.bitmap` of the text's five-word shingles.
+    """
     rows = docs.select(key.alias("key"), as_bytes(text).alias("text"), F.xxhash64(as_bytes(text)).alias("text_id"))
-    out = schema(key=kind_of(rows, "key"), text_id="long", fp="long", n="long")
+    out = schema(key=kind_of(rows, "key"), text_id="long", fp="long", **({"bits": "binary"} if bitmaps else {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            prints = pa.array([fingerprint(t, width) for t in texts], pa.int64())
-            sizes = [len(t.split()) for t in texts]
-            n = pa.array([max(min(w, 1), w - SIMILAR_WIDTH + 1) for w in sizes], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), prints, n], out.names)
+            columns = [batch.column(0), batch.column(2), pa.array([fingerprint(t, width) for t in texts], pa.int64())]
+            if bitmaps:
+                columns.append(pa.array([bitmap(features(t)) for t in texts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, out.names)
 
     return rows.mapInArrow(run, out)
 
@@ -112,14 +99,20 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-def meetings(keys: np.ndarray, fps: np.ndarray, rest: dict[int, np.ndarray], half: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b) of the fingerprints that have a variant with one of ``keys`` in common; b is the smallest."""
-    low = np.uint64(64 - KEY_BITS)
-    used = np.bitwise_count(keys ^ (fps >> low))
+def ball(bits: int, most: int) -> int:
+    """Number of masks of so many bits with at most ``most`` of them set."""
+    return sum(comb(bits, i) for i in range(most + 1))
+
+
+def meetings(keys: np.ndarray, fps: np.ndarray, depth: int, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) of the fingerprints that have a variant with one of ``keys`` as its ``depth`` leading bits in common; b is the smallest."""
+    rest = flips(0, 64 - depth, half)
+    low = np.uint64((1 << (64 - depth)) - 1)
+    used = np.bitwise_count((keys ^ fps) & ~low)
     spheres = []  # owners, their flipped heads, masks for the rest
     for spent in range(half + 1):
         at = used == spent
-        base = (keys[at] << low) | (fps[at] & np.uint64((1 << (64 - KEY_BITS)) - 1))
+        base = (keys[at] & ~low) | (fps[at] & low)
         spheres += [(fps[at], base, rest[n]) for n in range(half - spent + 1)]
     variants = np.concatenate([(base[:, None] ^ masks[None, :]).ravel() for _, base, masks in spheres])
     variants.sort()
@@ -140,244 +133,101 @@ def meetings(keys: np.ndarray, fps: np.ndarray, rest: dict[int, np.ndarray], hal
     return pairs[0][near], pairs[1][near]
 
 
-def links(fps: DataFrame, radius: int = 4, near: bool = False) -> DataFrame:
-    """Links (family, a, b) that connect all distinct (family, fp) of a family at most ``radius`` bits apart.
+def keyed(own: np.ndarray, half: int, hot: dict[int, np.ndarray], upto: int = DEPTHS[-1]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(depth, keys, fingerprints): every fingerprint under all keys that its variants have, at the first depth where they are not hot.
 
-    Not every such pair is a row, but its two ends are always connected. With ``near`` all rows are such pairs, without it
-    a task replaces its links by fewer that connect the same. ``family`` is below 2**16 and may be left out. An odd
+    Keys are the leading bits of a variant, in their place. ``upto`` ends the splitting.
+    """
+    step = DEPTHS[0]
+    keys, fps, spent = own, own, np.zeros(len(own), np.int64)
+    for depth in DEPTHS:
+        low = np.uint64((1 << (64 - depth)) - 1)
+        made = []
+        for n, masks in flips(64 - depth, step, half).items():
+            at = np.flatnonzero(spent + n <= half)
+            made.append(((keys[at][:, None] ^ masks[None, :]).ravel(), np.repeat(fps[at], len(masks)), np.repeat(spent[at] + n, len(masks))))
+        keys, fps, spent = (np.concatenate(x) for x in zip(*made, strict=True))
+        split = np.zeros(len(keys), bool) if depth == upto or not len(hot.get(depth, ())) else np.isin(keys & ~low, hot[depth])
+        yield depth, keys[~split] & ~low, fps[~split]
+        keys, fps, spent = keys[split], fps[split], spent[split]
+        if not len(keys):
+            return
+
+
+def hot_keys(fps: DataFrame, half: int) -> dict[int, np.ndarray]:
+    """The keys of each depth under which more than ``HOT_VARIANTS`` variants meet: counted over all fingerprints, and bounded in number."""
+    hot: dict[int, np.ndarray] = {}
+    for depth in DEPTHS[:-1]:
+        known = dict(hot)
+        sizes = np.array([ball(64 - depth, half - n) for n in range(half + 1)])
+        low = np.uint64((1 << (64 - depth)) - 1)
+
+        def count(batches: Iterator[pa.RecordBatch], known=known, depth=depth, sizes=sizes, low=low) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                for i in range(0, len(own), 4096):
+                    for found, keys, fp in keyed(own[i : i + 4096], half, known, depth):
+                        if found == depth and len(keys):
+                            kinds, at = np.unique(keys, return_inverse=True)
+                            n = np.bincount(at, sizes[np.bitwise_count((keys ^ fp) & ~low)])
+                            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+        counted = fps.select("fp").mapInArrow(count, schema(key="long", n="long")).groupBy("key").agg(F.sum("n").alias("n"))
+        many = counted.filter(F.col("n") > HOT_VARIANTS).orderBy(F.desc("n"), "key").limit(HOT_KEYS).select("key").toArrow()["key"].to_numpy()
+        if not len(many):
+            break
+        hot[depth] = np.sort(many.astype(np.int64).view(np.uint64))
+    return hot
+
+
+def links(fps: DataFrame, radius: int = 4) -> DataFrame:
+    """Links (a, b) that connect all distinct ``fp`` at most ``radius`` bits apart.
+
+    Not every such pair is a row, but its two ends are always connected. An odd
     radius is refused, since each end takes half of the flips; ``radius`` 0 has no links.
     """
     if radius % 2 or radius < 0:
         raise ValueError("the radius must be even: each end takes half of the flips")
     half = radius // 2
-    lead, rest = flips(0, KEY_BITS, half), flips(0, 64 - KEY_BITS, half)
-    masks = np.concatenate(list(lead.values()))
-    ball = sum(len(lead[i]) * sum(len(rest[j]) for j in range(half - i + 1)) for i in lead)
-    family = F.col("family") if "family" in fps.columns else F.lit(0)
-    shards = ceil(fps.count() * len(masks) * 16 / SHARD_BYTES)
+    shards = ceil(fps.count() * ball(DEPTHS[0], half) * 16 / SHARD_BYTES)
     shards = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards)
-    first = np.uint64(KEY_BITS)
+    hot = fps.sparkSession.sparkContext.broadcast(hot_keys(fps, half))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kind, own = (c.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in batch.columns)
+            own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for i in range(0, len(own), 4096):
-                fp = np.repeat(own[i : i + 4096], len(masks))
-                flip = np.tile(masks, len(fp) // len(masks))
-                key = np.repeat(kind[i : i + 4096] << first, len(masks)) | ((fp >> np.uint64(64 - KEY_BITS)) ^ flip)
-                shard = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(shards)
-                order = np.argsort(shard, kind="stable")
-                shard, entry = shard[order], np.stack((key, fp), axis=1)[order]
-                found, begin = np.unique(shard, return_index=True)
-                packed = [part.tobytes() for part in np.split(entry, begin[1:])] if len(found) else []
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(packed, pa.binary())], ["shard", "entries"])
+                for depth, key, fp in keyed(own[i : i + 4096], half, hot.value):
+                    shard = ((key | np.uint64(depth)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(shards)
+                    order = np.argsort(shard, kind="stable")
+                    shard, entry = shard[order], np.stack((key | np.uint64(depth), fp), axis=1)[order]  # the key's low bits are free
+                    found, begin = np.unique(shard, return_index=True)
+                    packed = [part.tobytes() for part in np.split(entry, begin[1:])] if len(found) else []
+                    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(packed, pa.binary())], ["shard", "entries"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for b in batches for x in b.column(0)]
         entries = np.concatenate(parts) if parts else np.empty((0, 2), np.uint64)
-        entries = entries[np.argsort(entries[:, 0], kind="stable")]
-        # whole keys per chunk; an entry has ball / len(masks) variants on average, the fingerprint's own key the most
-        step = max(1, CHUNK * len(masks) // ball)
-        for kind in np.unique(entries[:, 0] >> first):
-            entry = entries[entries[:, 0] >> first == kind]
-            key, fp = entry[:, 0] & np.uint64((1 << KEY_BITS) - 1), entry[:, 1]
+        tags = entries[:, 0] & np.uint64((1 << (64 - DEPTHS[-1])) - 1)
+        for depth in DEPTHS:
+            entry = entries[tags == depth]
+            entry = entry[np.argsort(entry[:, 0], kind="stable")]
+            key, fp = entry[:, 0] ^ np.uint64(depth), entry[:, 1]
+            # whole keys per chunk, of about CHUNK variants; a fingerprint's own key has the most
+            sizes = np.array([ball(64 - depth, half - n) for n in range(half + 1)])
+            made = np.cumsum(sizes[np.bitwise_count((key ^ fp) & ~np.uint64((1 << (64 - depth)) - 1))]) if len(key) else key
             cuts = [0]
             for s in (np.flatnonzero(key[1:] != key[:-1]) + 1).tolist():
-                if s - cuts[-1] >= step:
+                if made[s - 1] - (made[cuts[-1] - 1] if cuts[-1] else 0) >= CHUNK:
                     cuts.append(s)
-            found = [meetings(key[i:j], fp[i:j], rest, half) for i, j in zip(cuts, [*cuts[1:], len(key)], strict=True)]
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            a, b = np.unique(np.stack((a, b)), axis=1) if near else forest(a, b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(a), kind).astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["family", "a", "b"]
-            )
-
-    emitted = fps.select(family.cast("long").alias("family"), "fp").mapInArrow(emit, schema(shard="long", entries="binary"))
-    dealt = emitted.repartition(shards, "shard").select("entries")
-    return dealt.mapInArrow(meet, schema(family="long", a="long", b="long"))
-
-
-def similar(a: bytes, b: bytes, width: int = SIMILAR_WIDTH) -> float:
-    """Shared over all shingles, counted with repeats; two texts without words are equal."""
-    counts = []
-    for text in (a, b):
-        words = text.lower().split()
-        n = min(width, len(words))
-        counts.append(Counter(zip(*(words[i:] for i in range(n)), strict=False)))
-    shared = sum((counts[0] & counts[1]).values())
-    total = counts[0].total() + counts[1].total() - shared
-    return shared / total if total else 1.0
-
-
-def features(text: bytes, width: int = SIMILAR_WIDTH) -> np.ndarray:
-    """A hash per shingle as :func:`similar` counts them: the n-th repeat of a shingle is a feature of its own."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
-    k = min(width, len(words))
-    n = len(words) - k + 1
-    own = np.full(n, k, np.uint64)
-    for i in range(k):
-        own = (own ^ hashed[i : i + n]) * np.uint64(0xBF58476D1CE4E5B9)
-        own ^= own >> np.uint64(29)
-    own.sort()
-    begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    nth = np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))
-    own = (own ^ (nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0x94D049BB133111EB)
-    return own ^ (own >> np.uint64(31))
-
-
-def frequent_cells(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of features that are frequent in some task, and how frequent they are; bounded, in order of cells.
-
-    They only order the features, see :func:`prefixes`; any order finds the same pairs, and a good one few others.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.uint32)
-        for batch in batches:
-            for value in batch.column(0):
-                cells, n = np.unique(features(value.as_py()) % np.uint64(CELLS), return_counts=True)
-                total[cells] += n.astype(np.uint32)
-        often = np.flatnonzero(total >= max(8, 4 * total.mean()))
-        for i in range(0, len(often), 1 << 16):
-            part = often[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part].astype(np.int64))], ["cell", "n"])
-
-    counted = docs.select(as_bytes(text).alias("text")).mapInArrow(run, schema(cell="long", n="long"))
-    table = counted.groupBy("cell").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "cell").limit(FREQUENT_CELLS).toArrow()
-    cells, n = (table[c].to_numpy().astype(np.int64) for c in ("cell", "n"))
-    order = np.argsort(cells)
-    return cells[order], n[order]
-
-
-def prefix(own: np.ndarray, cells: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
-    """The first features of a text, rare ones first: so many that two texts as alike as ``similarity`` share one.
-
-    Such texts share at least ``similarity`` times the features of either, so at most the others can come before the
-    first that they share.
-    """
-    most = len(own) - ceil(similarity * len(own) - 1e-9) + 1
-    if len(cells):
-        cell = (own % np.uint64(CELLS)).astype(np.int64)
-        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
-        weight = np.where(cells[at] == cell, n[at], 0)
-    else:
-        weight = np.zeros(len(own), np.int64)
-    return own[np.lexsort((own, weight))[:most]]
-
-
-def shared_features(docs: DataFrame, text: str, similarity: float) -> DataFrame:
-    """(feature, text_id) of the features that the prefixes of several distinct texts have in common."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_cells(docs, text))
-    rows = docs.select(F.xxhash64(as_bytes(text)).alias("text_id"), as_bytes(text).alias("text"))
-    size = docs.select(F.sum(F.octet_length(as_bytes(text)))).first()[0] or 0
-    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(size / SHARD_BYTES))
+            for i, j in zip(cuts, [*cuts[1:], len(key)], strict=True):
+                a, b = forest(*meetings(key[i:j], fp[i:j], depth, half))
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, n = shared.value
-        seen: set[int] = set()  # copies in one task are sent once
-        held: list[np.ndarray] = []
-
-        def packed() -> pa.RecordBatch:
-            entry = np.concatenate(held) if held else np.empty((0, 2), np.uint64)
-            held.clear()
-            shard = entry[:, 0] % np.uint64(shards)
-            order = np.argsort(shard, kind="stable")
-            entry = entry[order]
-            found, begin = np.unique(shard[order], return_index=True)
-            parts = [part.tobytes() for part in np.split(entry, begin[1:])] if len(found) else []
-            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(parts, pa.binary())], ["shard", "entries"])
-
-        size = 0
-        for batch in batches:
-            for text_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if text_id in seen:
-                    continue
-                seen = seen if len(seen) < CHUNK else set()
-                seen.add(text_id)
-                first = prefix(features(value.as_py()), cells, n, similarity)
-                held.append(np.stack((first, np.full(len(first), np.int64(text_id).astype(np.uint64))), axis=1))
-                size += len(first)
-                if size >= CHUNK:
-                    yield packed()
-                    size = 0
-        yield packed()
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for b in batches for x in b.column(0)]
-        entry = np.concatenate(parts) if parts else np.empty((0, 2), np.uint64)
-        entry = entry[np.lexsort((entry[:, 1], entry[:, 0]))]
-        fresh = np.ones(len(entry), bool)  # the same text comes from several tasks
-        fresh[1:] = (entry[1:] != entry[:-1]).any(axis=1)
-        entry = entry[fresh]
-        same = entry[1:, 0] == entry[:-1, 0]
-        met = entry[np.append(same, False) | np.insert(same, 0, False)[: len(entry)]] if len(entry) else entry
-        for i in range(0, len(met), 1 << 16):
-            part = met[i : i + (1 << 16)].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["feature", "text_id"])
-
-    emitted = rows.mapInArrow(emit, schema(shard="long", entries="binary"))
-    return emitted.repartition(shards, "shard").select("entries").mapInArrow(meet, schema(feature="long", text_id="long"))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float) -> DataFrame:
-    """The rows (a, b, fp_a, fp_b) of ``pairs`` whose texts a and b are alike."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
-    texts = docs.select(F.xxhash64(as_bytes(text)).alias("text_id"), as_bytes(text).alias("text"))
-    texts = texts.join(needed, "text_id", "left_semi").select("text_id", "text")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([packer.compress(t.as_py()) for t in batch.column(1)], pa.binary())], batch.schema.names)
-
-    texts = written(texts.mapInArrow(pack, schema(text_id="long", text="binary")).dropDuplicates(["text_id"]))
-    both = pairs.join(texts.withColumnsRenamed({"text_id": "a", "text": "text_a"}), "a").join(
-        texts.withColumnsRenamed({"text_id": "b", "text": "text_b"}), "b"
-    )
-    names = ["a", "b", "fp_a", "fp_b"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            alike = [similar(unpack(x.as_py()), unpack(y.as_py())) >= similarity for x, y in zip(batch.column(4), batch.column(5), strict=True)]
-            yield batch.select(names).filter(pa.array(alike, pa.bool_()))
-
-    return both.select(*names, "text_a", "text_b").mapInArrow(run, schema(**dict.fromkeys(names, "long")))
-
-
-def similar_links(docs: DataFrame, found: DataFrame, distinct: DataFrame, text: str, similarity: float) -> DataFrame:
-    """Links (a, b) of fingerprints that connect all texts alike by their shingles, given the links ``found``.
+    emitted = fps.select("fp").mapInArrow(emit, schema(shard="long", entries="binary"))
+    dealt = emitted.repartition(shards, "shard").select("entries")
+    return dealt.mapInArrow(meet, schema(a="long", b="long"))
 
-    ``distinct``: (text_id, fp, n) of all distinct texts. Texts that are alike share a feature of their prefixes. Each is
-    first held against the smallest text with the same feature, so that a large group of copies costs as many comparisons as it
-    has members. Then all texts with the same feature that are not connected yet are held against one another, so
-    that no pair is lost because both are unlike the smallest.
-    """
-    known = distinct.join(components(found).withColumnRenamed("node", "fp"), "fp", "left").select("text_id", "fp", "n", F.coalesce("root", "fp").alias("root"))
-    shared = written(shared_features(docs, text, similarity).join(known, "text_id"))
-    least = shared.groupBy("feature").agg(F.min(F.struct("text_id", "fp", "n", "root")).alias("first"), F.min("root").alias("low"), F.max("root").alias("high"))
-    least = least.filter("low != high").select("feature", "first")
-    near_size = F.least("n", "first.n") >= F.greatest("n", "first.n") * (similarity - 1e-9)
-    pairs = shared.join(least, "feature").filter(near_size & (F.col("root") != F.col("first.root")))
-    pairs = pairs.select(F.col("text_id").alias("a"), F.col("first.text_id").alias("b"), F.col("fp").alias("fp_a"), F.col("first.fp").alias("fp_b"))
-    pairs = written(pairs.groupBy("a", "fp_a").agg(F.min(F.struct("b", "fp_b")).alias("to")).select("a", "to.b", "fp_a", "to.fp_b"))
-    alike = written(verified(pairs, docs, text, similarity))
-    links = alike.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
-    roots = components(found.union(links)).withColumnRenamed("node", "fp")
-    member = shared.drop("root").join(roots, "fp", "left").select("feature", "text_id", "fp", "n", F.coalesce("root", "fp").alias("root"))
-    split = member.groupBy("feature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("feature")
-    open_ = written(member.join(split, "feature", "left_semi"))
-    ends = [open_.select("feature", *[F.col(c).alias(f"{c}_{x}") for c in ("text_id", "fp", "n", "root")]) for x in ("a", "b")]
-    near_size = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (similarity - 1e-9)
-    others = ends[0].join(ends[1], "feature").filter((F.col("root_a") < F.col("root_b")) & near_size)
-    others = others.select(F.greatest("text_id_a", "text_id_b").alias("a"), F.least("text_id_a", "text_id_b").alias("b"),
-        F.when(F.col("text_id_a") > F.col("text_id_b"), F.col("fp_a")).otherwise(F.col("fp_b")).alias("fp_a"),
-        F.when(F.col("text_id_a") > F.col("text_id_b"), F.col("fp_b")).otherwise(F.col("fp_a")).alias("fp_b")).distinct()
-    others = written(others.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    return links.union(verified(others, docs, text, similarity).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
 
 def near_duplicates(
     docs: DataFrame, key: Column, text: str = "text", width: int = 4, radius: int = 4,
@@ -386,21 +236,20 @@ def near_duplicates(
     """(key, fp, component) for every row of ``docs``: the smallest key of its group of near-duplicates.
 
     Groups are the connected components of "at most ``radius`` bits apart"; with ``similarity`` also of documents that are
-    at least so alike by five-word shingles, as far as their word fingerprints meet. Null and empty texts have the
+    at least so alike by five-word shingles. Null and empty texts have the
     fingerprint zero and are linked like any other. A row without a key gets its group's smallest
     key, or null if the group has none. Repeated rows give repeated results; an empty table gives none.
 
     A large group of copies is one distinct fingerprint with its smallest key, made by a partial aggregate; only
     the last join meets its rows, on narrow rows whose hot key adaptive execution splits.
     """
-    marked = written(fingerprints(docs, key, text, width))
+    marked = written(fingerprints(docs, key, text, width, bool(similarity)))
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key")).alias("first")
     distinct = written(marked.groupBy("fp").agg(first).select("fp", F.col("first.key").alias("first")))
-    found = links(distinct, radius).select("a", "b")
+    found = links(distinct, radius)
     if similarity:
-        found = written(found)
-        texts = written(marked.groupBy("text_id").agg(F.first("fp").alias("fp"), F.first("n").alias("n")))
-        found = found.union(similar_links(docs, found, texts, text, similarity))
+        texts = written(marked.groupBy("text_id").agg(F.first("fp").alias("fp"), F.first("bits").alias("bits")))
+        found = alike_links(docs, written(found), texts, text, similarity)
     roots = components(found).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component"))
@@ -420,7 +269,8 @@ def op10_simhash(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, width: int = 4, radius: int = 4, similarity: float | None = SIMILARITY) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns: the one with the smallest doc_id.
 
-    Groups are those of :func:`near_duplicates`, by fingerprint and, unless ``similarity`` is None, by likeness. Rows are told apart by doc_id and text; null ids come last, and of rows that agree in both one stays.
+    Groups are those of :func:`near_duplicates`, by fingerprint and, unless ``similarity`` is None, by likeness. Rows are
+    told apart by doc_id and text; null ids come last, and of rows that agree in both one stays.
     """
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
     groups = near_duplicates(docs, own, width=width, radius=radius, similarity=similarity)
