@@ -18,6 +18,7 @@ ZERO = Decimal("0.00")
 
 # Order in which a patient's lines draw on the benefit year: service date, then invoice, then line.
 LINE_ORDER = ("service_date", "invoice_id", "line_id")
+BLOCK_INVOICES = 1024  # invoice numbers of a block of a running total
 BENEFIT_YEAR_KEY = ("patient_id", "benefit_year")
 
 
@@ -115,12 +116,14 @@ def drawn(
     """Part of ``value`` that still fits under a yearly limit when rows draw on it in line order.
 
     Closed form of the sequential rule: what fits is the capped running total minus the capped
-    running total before the row. Exact, since all amounts are DECIMAL.
+    running total before the row. Exact, since all amounts are DECIMAL. Blocks are a date's invoices in runs of
+    ``BLOCK_INVOICES`` numbers, so that a date with very many lines is spread, too.
     """
-    out = running_total(df, group, [LINE_ORDER[0]], LINE_ORDER[1:], value, "_run")
+    run = F.floor(F.col(LINE_ORDER[1]) / BLOCK_INVOICES)
+    out = running_total(df.withColumn("_slot", run), group, [LINE_ORDER[0], "_slot"], LINE_ORDER[1:], value, "_run")
     return out.withColumn(
         name, X.money(F.least(limit, F.col("_run")) - F.least(limit, F.col("_run") - value))
-    ).drop("_run")
+    ).drop("_run", "_slot")
 
 
 def deductible_applied(lines: DataFrame) -> DataFrame:
