@@ -4,106 +4,115 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crownledger.operators import adjudication as B
+from crownledger.operators import adjudication
 from crownledger.operators import aggregates as A
 from crownledger.operators import joins as J
 from crownledger.operators import quality as D
+from crownledger.operators import rulebook as B
 from crownledger.plans.registry import QUERIES, query
 from crownledger.schemas import FOREIGN_KEYS, TABLES
 
 
-@query("dq_foreign_keys")
-def dq_foreign_keys(t):
-    return D.fk_rules(t.bronze_all(), FOREIGN_KEYS)
+def _named(t):
+    """Tables by name: bronze ones plainly, others with their layer or source before a dot."""
 
+    def of(name):
+        layer, _, table = name.rpartition(".")
+        known = {"": t.bronze, "silver": t.silver, "raw": t.raw}
+        if layer in known:
+            return known[layer](table)
+        return {"lines": t.lines_core, "chunks": t.chunks}[table]()
 
-@query("dq_cardinality")
-def dq_cardinality(t):
-    others = t.bronze("appointments").filter(F.col("source_recall_id").isNull())
-    return D.report(
-        [
-            D.cardinality(
-                t.bronze("insurance_company_networks"), ["insurance_company_id"], 1, 3, "1-3 networks per company"
-            ),
-            D.cardinality(t.bronze("office_network_participation"), ["office_id"], 1, 3, "1-3 networks per office"),
-            D.cardinality(t.bronze("policy_dependents"), ["subscriber_id"], 1, 5, "1-5 dependents per holder"),
-            D.cardinality(
-                t.bronze("recall_reminders"), ["patient_id", "benefit_year"], 2, 2, "2 recalls per patient and year"
-            ),
-            D.cardinality(t.bronze("appointment_reminders"), ["appointment_id"], 1, 3, "1-3 reminders per visit"),
-            D.cardinality(others, ["patient_id", "benefit_year"], 0, 2, "0-2 other visits per patient and year"),
-            D.cardinality(t.bronze("invoice_lines"), ["invoice_id"], 1, 5, "1-5 lines per invoice"),
-        ]
-    )
+    return of
 
 
-@query("dq_cross_product")
-def dq_cross_product(t):
-    return D.report(
-        [
-            D.cross_product(
-                t.bronze("office_insurance_network"),
-                t.bronze("dental_offices"),
-                t.bronze("insurance_companies"),
-                "a status for every office and company",
-            ),
-            D.cross_product(
-                t.bronze("coverage_rules"),
-                t.bronze("insurance_policies"),
-                t.bronze("billing_codes"),
-                "a rule for every policy and code",
-            ),
-        ]
-    )
+#: Queries whose rules are measured in one scan per table; the report measures all of them together.
+MEASURED = ['dq_foreign_keys', 'dq_cardinality', 'dq_cross_product', 'dq_unique_key', 'dq_one_to_one', 'dq_set_equality', 'dq_conditional_subset', 'dq_nullable_present', 'dq_every_visit', 'dq_row_identity', 'dq_header_vs_lines', 'dq_upper_bound', 'dq_ratio_range', 'dq_no_nulls_after_fix', 'dq_duplicate_ids', 'dq_indexed_rows']
 
 
-@query("dq_unique_key")
-def dq_unique_key(t):
-    return D.report(
-        [
-            D.unique_key(t.bronze("coverage_rules"), ["policy_id", "billing_code_id"], "one rule per policy and code"),
-            D.unique_key(
-                t.bronze("patient_benefit_years"), ["patient_id", "benefit_year"], "one row per patient and year"
+def rules() -> dict[str, list[B.Rule]]:
+    """The rules of each of these queries."""
+    c = F.col
+    return {
+        "dq_foreign_keys": [B.no_orphans(fk) for fk in FOREIGN_KEYS],
+        "dq_cardinality": [
+            B.sizes("insurance_company_networks", ["insurance_company_id"], 1, 3, "1-3 networks per company"),
+            B.sizes("office_network_participation", ["office_id"], 1, 3, "1-3 networks per office"),
+            B.sizes("policy_dependents", ["subscriber_id"], 1, 5, "1-5 dependents per holder"),
+            B.sizes("recall_reminders", ["patient_id", "benefit_year"], 2, 2, "2 recalls per patient and year"),
+            B.sizes("appointment_reminders", ["appointment_id"], 1, 3, "1-3 reminders per visit"),
+            B.sizes("appointments", ["patient_id", "benefit_year"], 0, 2, "0-2 other visits per patient and year", c("source_recall_id").isNull()),
+            B.sizes("invoice_lines", ["invoice_id"], 1, 5, "1-5 lines per invoice"),
+        ],
+        "dq_cross_product": [
+            B.product("office_insurance_network", "dental_offices", "insurance_companies", "a status for every office and company"),
+            B.product("coverage_rules", "insurance_policies", "billing_codes", "a rule for every policy and code"),
+        ],
+        "dq_unique_key": [
+            B.sizes("coverage_rules", ["policy_id", "billing_code_id"], 1, 1, "one rule per policy and code"),
+            B.sizes("patient_benefit_years", ["patient_id", "benefit_year"], 1, 1, "one row per patient and year"),
+        ],
+        "dq_one_to_one": [
+            B.single("invoices", "appointment_id", "invoice is 1:1 with appointment"),
+            B.single("claims_and_payments", "invoice_id", "claim is 1:1 with invoice"),
+        ],
+        "dq_set_equality": [
+            B.same_keys("invoices", "appointments", "appointment_id", "invoices for exactly the completed visits", c("appointment_status") == "Completed")
+        ],
+        "dq_conditional_subset": [
+            B.subset("claim_disputes", "claims_and_payments", "claim_id", c("claim_status") == "Denied", "disputes on denied claims only")
+        ],
+        "dq_nullable_present": [B.present("appointments", c("source_recall_id").isNull(), "walk-ins exist")],
+        "dq_every_visit": [B.children("appointments", "appointment_reminders", "appointment_id", 1, 3, "1-3 reminders for every visit")],
+        "dq_row_identity": [
+            B.identity(
+                "invoice_lines", c("unit_price") - c("allowed_amount"), c("contractual_writeoff"),
+                "write-off = fee - allowed (in-network)", c("contractual_writeoff") > 0,
             ),
+            B.identity("invoice_lines", c("estimated_patient_amount"), c("allowed_amount") - c("estimated_insurance_amount"), "patient = allowed - insurance"),
+            B.identity("invoices", c("estimated_copay_due") - c("actual_patient_paid_at_visit"), c("patient_balance"), "balance = due - paid"),
+            B.identity("patient_benefit_years", c("annual_maximum") - c("benefit_used"), c("benefit_remaining"), "remaining = maximum - used"),
+        ],
+        "dq_header_vs_lines": [
+            B.header_total("invoices", "of.lines", "invoice_id", "total_gross_amount", "unit_price"),
+            B.header_total("invoices", "of.lines", "invoice_id", "total_allowed_amount", "allowed_amount"),
+        ],
+        "dq_upper_bound": [
+            B.on_rows("patient_benefit_years", F.lit(True), c("benefit_used") > c("annual_maximum"), "used within the maximum")
+        ],
+        "dq_ratio_range": [
+            B.ratio("billing_codes", "in_network_allowed_amount", "standard_fee", "0.60", "0.75", "in-network 60-75% of fee"),
+            B.ratio("billing_codes", "out_network_allowed_amount", "standard_fee", "0.85", "0.95", "out-network 85-95% of fee"),
+        ],
+        "dq_no_nulls_after_fix": [
+            B.on_rows(f"silver.{table}", F.lit(True), c(column).isNull(), f"{table}.{column} has no null")
+            for table, columns in {
+                "claims_and_payments": ["denial_reason_code", "claim_status", "is_denied"],
+                "appointments": ["source_recall_id", "appointment_status", "is_no_show"],
+                "office_insurance_network": ["shared_network_id"],
+                "patients": ["age", "age_group", "gender"],
+            }.items()
+            for column in columns
         ]
-    )
+        + [
+            B.equal_counts("silver.appointments", c("is_no_show"), "appointments", c("appointment_status") == "No-Show", "is_no_show counts the source"),
+            B.equal_counts("silver.claims_and_payments", c("is_denied"), "claims_and_payments", c("claim_status") == "Denied", "is_denied counts the source"),
+        ],
+        "dq_duplicate_ids": [B.single("of.chunks", "chunk_id", "chunk ids are unique")],
+        "dq_indexed_rows": [B.covers("raw.labels", "raw.documents", "doc_id", "labels cover the documents")],
+    }
 
 
-@query("dq_one_to_one")
-def dq_one_to_one(t):
-    return D.report(
-        [
-            D.one_to_one(t.bronze("invoices"), "appointment_id", "invoice is 1:1 with appointment"),
-            D.one_to_one(t.bronze("claims_and_payments"), "invoice_id", "claim is 1:1 with invoice"),
-        ]
-    )
+def _measured(name):
+    def run(t):
+        return B.measure(_named(t), rules()[name])
 
+    run.__doc__ = f"The rules of ``rules()[{name!r}]``, one scan per table."
+    return query(name)(run)
 
-@query("dq_set_equality")
-def dq_set_equality(t):
-    completed = t.bronze("appointments").filter(F.col("appointment_status") == "Completed")
-    return D.same_set(t.bronze("invoices"), completed, "appointment_id", "invoices for exactly the completed visits")
 
-
-@query("dq_conditional_subset")
-def dq_conditional_subset(t):
-    denied = F.col("claim_status") == "Denied"
-    return D.conditional_subset(
-        t.bronze("claim_disputes"), t.bronze("claims_and_payments"), "claim_id", denied, "disputes on denied claims only"
-    )
-
-
-@query("dq_nullable_present")
-def dq_nullable_present(t):
-    return D.has_null(t.bronze("appointments"), "source_recall_id", "walk-ins exist")
-
-
-@query("dq_every_visit")
-def dq_every_visit(t):
-    """Visits without any reminder count as violations, too."""
-    return D.per_parent(
-        t.bronze("appointments"), t.bronze("appointment_reminders"), "appointment_id", 1, 3, "1-3 reminders for every visit"
-    )
+for _name in MEASURED:
+    _measured(_name)
 
 
 @query("dq_writeoff_fee")
@@ -119,78 +128,21 @@ def dq_writeoff_fee(t):
     )
 
 
-@query("dq_row_identity")
-def dq_row_identity(t):
-    lines, invoices, years = t.bronze("invoice_lines"), t.bronze("invoices"), t.bronze("patient_benefit_years")
-    c = F.col
-    return D.report(
-        [
-            D.identity(
-                lines.filter(c("contractual_writeoff") > 0),
-                c("unit_price") - c("allowed_amount"),
-                c("contractual_writeoff"),
-                "write-off = fee - allowed (in-network)",
-            ),
-            D.identity(
-                lines,
-                c("estimated_patient_amount"),
-                c("allowed_amount") - c("estimated_insurance_amount"),
-                "patient = allowed - insurance",
-            ),
-            D.identity(
-                invoices,
-                c("estimated_copay_due") - c("actual_patient_paid_at_visit"),
-                c("patient_balance"),
-                "balance = due - paid",
-            ),
-            D.identity(
-                years, c("annual_maximum") - c("benefit_used"), c("benefit_remaining"), "remaining = maximum - used"
-            ),
-        ]
-    )
-
-
-@query("dq_header_vs_lines")
-def dq_header_vs_lines(t):
-    return D.header_vs_lines(
-        t.bronze("invoices"),
-        t.lines_core(),
-        "invoice_id",
-        {"total_gross_amount": "unit_price", "total_allowed_amount": "allowed_amount"},
-    )
-
-
-@query("dq_upper_bound")
-def dq_upper_bound(t):
-    return D.upper_bound(t.bronze("patient_benefit_years"), "benefit_used", "annual_maximum", "used within the maximum")
-
-
 @query("dq_rule_conformance")
 def dq_rule_conformance(t):
     codes = t.silver("billing_codes").select("billing_code_id", "procedure_category")
     rules = t.silver("coverage_rules").join(codes, "billing_code_id")
     return D.conforms(
         rules,
-        B.plan_design(t.spark),
+        adjudication.plan_design(t.spark),
         "procedure_category",
         ["coinsurance_percentage", "copay_flat_amount", "deductible_applies"],
     )
 
 
-@query("dq_ratio_range")
-def dq_ratio_range(t):
-    codes = t.bronze("billing_codes")
-    return D.report(
-        [
-            D.ratio_in(codes, "in_network_allowed_amount", "standard_fee", "0.60", "0.75", "in-network 60-75% of fee"),
-            D.ratio_in(codes, "out_network_allowed_amount", "standard_fee", "0.85", "0.95", "out-network 85-95% of fee"),
-        ]
-    )
-
-
 @query("dq_recompute_status")
 def dq_recompute_status(t):
-    again = B.network_status(
+    again = adjudication.network_status(
         t.bronze("dental_offices"),
         t.bronze("insurance_companies"),
         t.bronze("office_network_participation"),
@@ -221,74 +173,17 @@ def dq_layer_reconcile(t):
     return J.match_counts(A.table_counts(t.bronze_all()), A.table_counts(t.silver_all()))
 
 
-@query("dq_no_nulls_after_fix")
-def dq_no_nulls_after_fix(t):
-    claims, visits = t.silver("claims_and_payments"), t.silver("appointments")
-    return D.clean_after_fix(
-        {
-            "claims_and_payments": (claims, ["denial_reason_code", "claim_status", "is_denied"]),
-            "appointments": (visits, ["source_recall_id", "appointment_status", "is_no_show"]),
-            "office_insurance_network": (t.silver("office_insurance_network"), ["shared_network_id"]),
-            "patients": (t.silver("patients"), ["age", "age_group", "gender"]),
-        },
-        {
-            "is_no_show counts the source": (
-                visits,
-                "is_no_show",
-                t.bronze("appointments"),
-                F.col("appointment_status") == "No-Show",
-            ),
-            "is_denied counts the source": (
-                claims,
-                "is_denied",
-                t.bronze("claims_and_payments"),
-                F.col("claim_status") == "Denied",
-            ),
-        },
-    )
-
-
-@query("dq_duplicate_ids")
-def dq_duplicate_ids(t):
-    chunks = t.chunks()
-    return D.duplicate_ids(chunks, "chunk_id", "chunk ids are unique")
-
-
-@query("dq_indexed_rows")
-def dq_indexed_rows(t):
-    return D.coverage(t.raw("labels"), t.raw("documents"), "doc_id", "labels cover the documents")
-
-
 @query("dq_expected_tables")
 def dq_expected_tables(t):
     return D.expected_tables(A.table_counts(t.bronze_all()), list(TABLES), "exactly the declared tables")
 
 
-REPORT = [
-    "dq_foreign_keys",
-    "dq_cardinality",
-    "dq_cross_product",
-    "dq_unique_key",
-    "dq_one_to_one",
-    "dq_set_equality",
-    "dq_conditional_subset",
-    "dq_nullable_present",
-    "dq_row_identity",
-    "dq_header_vs_lines",
-    "dq_upper_bound",
-    "dq_rule_conformance",
-    "dq_ratio_range",
-    "dq_recompute_status",
-    "dq_cross_table_status",
-    "dq_no_nulls_after_fix",
-    "dq_indexed_rows",
-    "dq_every_visit",
-    "dq_writeoff_fee",
-    "dq_duplicate_ids",
-    "dq_expected_tables",
-]
+#: Rules that compare joined rows; they are measured one by one.
+JOINED = ["dq_rule_conformance", "dq_recompute_status", "dq_cross_table_status", "dq_writeoff_fee", "dq_expected_tables"]
 
 
 @query("dq_report")
 def dq_report(t):
-    return D.report([QUERIES[name](t) for name in REPORT])
+    """All rules: those of :func:`rules` in one scan per table, and the joined ones."""
+    every = [rule for named in rules().values() for rule in named]
+    return D.report([B.measure(_named(t), every), *[QUERIES[name](t) for name in JOINED]])
