@@ -48,7 +48,7 @@ SQL = {
         ON b.t = s.t""",
     "fk_orphans": "SELECT appointment_id AS key, count(*) AS n FROM b_invoices WHERE appointment_id IS NOT NULL "
     "AND appointment_id NOT IN (SELECT appointment_id FROM b_appointments) GROUP BY 1",
-    "limit_sample": "SELECT least(5, count(*)) AS rows, least(5, count(*)) AS distinct_claims FROM b_claims_and_payments",
+    "limit_sample": "SELECT claim_id, invoice_id, claim_status FROM b_claims_and_payments ORDER BY claim_id LIMIT 5",
     "cross_join_pairs": "SELECT office_id, insurance_company_id FROM s_dental_offices CROSS JOIN s_insurance_companies",
     "shared_network": "SELECT office_id, insurance_company_id, shared_network_id FROM b_office_insurance_network "
     "WHERE shared_network_id IS NOT NULL",

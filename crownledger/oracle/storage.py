@@ -4,8 +4,6 @@ from crownledger.oracle.retrieval import _CHUNKS
 from crownledger.oracle.tables import edge
 from crownledger.schemas import TABLES, columns_of
 
-FIVE = ["dental_offices", "insurance_companies", "insurance_networks", "billing_codes", "patients"]
-
 
 def _each(names, cols: str) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS table_name, {cols.format(w=len(columns_of(n)))} FROM b_{n}" for n in names)
@@ -28,18 +26,21 @@ SQL = {
         for n in TABLES
     ),
     "load_csv_ctas": _each(TABLES, "count(*) AS row_count"),
-    "copy_into": _each(FIVE, "count(*) AS first, 0::bigint AS rerun, count(*) AS new_file, 2 * count(*) AS total"),
+    "copy_into": _each(TABLES, "count(*) AS first, 0::bigint AS rerun, count(*) AS new_file, 2 * count(*) AS total"),
     "file_stream": edge("appointments", "b_appointments"),
     "append_sink": "SELECT count(*) AS total_rows, count(DISTINCT claim_id) AS distinct_keys, 0::bigint AS duplicates FROM b_claims_and_payments",
     "source_file_filter": "SELECT o_orderkey FROM orders",
     "bulk_load": _each(TABLES, "count(*) AS rows, 'loaded' AS status"),
     "overwrite_schema": edge("insurance_companies", "s_insurance_companies", {"is_public": "payer_type = 'medicaid'"}),
     "layer_ctas": "SELECT insurance_company_id, total_claims, true AS is_stamped, 'Gold: payer performance' AS comment FROM g_payer_performance",
-    "csv_export": edge("patients", "b_patients"),
+    "csv_export": _each(TABLES, "count(*) AS row_count, 0::bigint AS different"),
+    "csv_export_patients": edge("patients", "b_patients"),
     "table_preview": _each(TABLES, "count(*) AS row_count, {w}::bigint AS column_count, least(3, count(*)) AS sample_rows"),
     "stream_ingest": _each(TABLES, "count(*) AS rows, 'loaded' AS status, 0::bigint AS rerun_rows"),
-    "stream_schema_store": "SELECT is_denied, count(*) AS n, 18::bigint AS stored_columns FROM s_claims_and_payments GROUP BY 1",
-    "stream_silver": edge(
+    "stream_schema_store": "SELECT CASE WHEN claim_id % 2 = 1 THEN is_denied END AS is_denied, count(*) AS n, 18::bigint AS stored_columns "
+    "FROM s_claims_and_payments GROUP BY 1",
+    "stream_silver": _each(TABLES, "count(*) AS first, 0::bigint AS rerun, true AS is_complete"),
+    "stream_silver_visits": edge(
         "appointments",
         "s_appointments",
         {c: c for c in ["appointment_date", "day_of_week", "is_no_show", "is_cancelled"]},

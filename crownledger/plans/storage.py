@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownledger.operators import aggregates as A
@@ -13,8 +16,6 @@ from crownledger.sources import files
 from crownledger.sources.tables import Store
 from crownledger.streaming import ingest, sync
 
-FIVE = ["dental_offices", "insurance_companies", "insurance_networks", "billing_codes", "patients"]
-
 
 def _declared(t, names):
     return {n: t.bronze(n).select(*columns_of(n)) for n in names}
@@ -53,7 +54,7 @@ def copy_into(t):
     """Rows added by a first load, by a rerun, and by a rerun after one more file arrived."""
     root = work_folder(t.spark)
     rows = []
-    for name in FIVE:
+    for name in TABLES:
         feed = ingest.Feed(f"{root}/raw/{name}", schema_of(name))
         data = _declared(t, [name])[name]
         data.write.options(**files.DIALECT).mode("append").csv(feed.folder)
@@ -128,6 +129,15 @@ def layer_ctas(t):
 
 @query("csv_export")
 def csv_export(t):
+    """All tables exported to CSV and read back with their declared schemas: rows, and rows that differ from what was written."""
+    declared = _declared(t, TABLES)
+    paths = files.export_csv(declared, f"{work_folder(t.spark)}/raw")
+    rows = [files.differences(declared[n], files.load_csv(t.spark, p, schema_of(n)), n) for n, p in paths.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("csv_export_patients")
+def csv_export_patients(t):
     """Patients exported to CSV and read back with their declared schema."""
     paths = files.export_csv(_declared(t, ["patients"]), f"{work_folder(t.spark)}/raw")
     return files.load_csv(t.spark, paths["patients"], schema_of("patients"))
@@ -154,22 +164,40 @@ def stream_ingest(t):
 
 @query("stream_schema_store")
 def stream_schema_store(t):
-    """A schema stored beside a stream, extended by a column that appears later."""
-    path = f"{work_folder(t.spark)}/schema"
-    known = t.bronze("claims_and_payments").select(*columns_of("claims_and_payments")).schema
-    ingest.store_schema(t.spark, path, known)
-    seen = t.silver("claims_and_payments").select(*columns_of("claims_and_payments"), "is_denied").schema
-    ingest.evolve_schema(t.spark, path, seen)
-    stored = ingest.stored_schema(t.spark, path)
-    claims = t.silver("claims_and_payments").select(*stored.fieldNames())
-    return claims.groupBy("is_denied").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "stored_columns", F.lit(len(stored)).cast("bigint")
-    )
+    """Claims streamed as JSON; half of them come later and with one more field, which the stored schema takes up."""
+    root = work_folder(t.spark)
+    plain = columns_of("claims_and_payments")
+    claims = t.silver("claims_and_payments").select(*plain, "is_denied")
+    declared = claims.select(*plain).schema
+    claims.filter("claim_id % 2 = 0").drop("is_denied").write.mode("append").json(f"{root}/raw")
+    ingest.evolving_stream(t.spark, f"{root}/raw", declared, root)
+    claims.filter("claim_id % 2 = 1").write.mode("append").json(f"{root}/raw")
+    for _ in range(2):  # the second start already has the new column
+        ingest.evolving_stream(t.spark, f"{root}/raw", declared, root)
+    out = ingest.evolved(t.spark, root)
+    return out.groupBy("is_denied").agg(F.count(F.lit(1)).alias("n")).withColumn("stored_columns", F.lit(len(out.columns)).cast("bigint"))
 
 
 @query("stream_silver")
 def stream_silver(t):
-    """Appointments through bronze and silver as streams."""
+    """All tables through bronze and silver as streams: rows that arrive, and again none."""
+    root = work_folder(t.spark)
+    paths = files.export_csv(_declared(t, TABLES), f"{root}/raw")
+    ingest.stream_ingest(t.spark, {n: ingest.Feed(p, schema_of(n)) for n, p in paths.items()}, root)
+    rows = []
+    for name in TABLES:
+        def run(name=name):
+            tidy = lambda df: silver.to_silver(name, df, t.as_of)
+            return ingest.stream_silver(t.spark, f"{root}/bronze/{name}", schema_of(name), tidy, f"{root}/ckpt/{name}", f"{root}/silver/{name}")
+
+        first, again = run(), run()
+        rows.append((name, first, again, len(t.spark.read.parquet(f"{root}/silver/{name}").columns) >= len(columns_of(name))))
+    return _result(t, rows, "table_name string, first bigint, rerun bigint, is_complete boolean")
+
+
+@query("stream_silver_visits")
+def stream_silver_visits(t):
+    """Appointments through bronze and silver as streams, read back."""
     root, name = work_folder(t.spark), "appointments"
     paths = files.export_csv(_declared(t, [name]), f"{root}/raw")
     ingest.ingest_stream(t.spark, ingest.Feed(paths[name], schema_of(name)), f"{root}/ckpt/bronze", f"{root}/bronze")

@@ -103,6 +103,23 @@ def export_csv(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
     return paths
 
 
+def differences(written: DataFrame, read: DataFrame, name: str) -> DataFrame:
+    """(table_name, row_count, different): rows of a table that was read back, and how many rows only one side has, repeats counted.
+
+    Both sides are hashed and counted together, so nothing is joined; empty texts count as null, as CSV does not tell them apart.
+    """
+    def hashed(df: DataFrame, side: int) -> DataFrame:
+        values = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+        row = F.sha2(F.to_json(F.struct(*[v.alias(c) for v, c in zip(values, df.columns)])), 256)
+        return df.select(row.alias("row"), F.lit(side).cast("bigint").alias("side"))
+
+    both = hashed(written, -1).unionByName(hashed(read, 1)).groupBy("row").agg(
+        F.sum("side").alias("surplus"), F.count_if(F.col("side") == 1).alias("n")
+    )
+    sums = both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum(F.abs("surplus")), F.lit(0)).alias("different"))
+    return sums.select(F.lit(name).alias("table_name"), "row_count", "different")
+
+
 def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns and schema of each table."""
     parts = [

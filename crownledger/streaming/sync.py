@@ -4,22 +4,24 @@ Chunks carry the version of their document, a number that grows with every re-ch
 those of its newest version: chunks of one version may arrive in any number of micro-batches, and what an
 older version had and the newest has not is gone. A row without a chunk id says that the document is deleted.
 
-The index is a change log in parquet, one folder per micro-batch: (chunk_id, doc_uri, content_hash, chunk_to_embed,
-op, version, batch). A batch writes only what it brings, into its own folder, so that a batch that runs twice after a
-failure overwrites itself and is counted once. ``compact`` folds the log into its live part.
+The index is a change log in parquet, one folder per micro-batch and in it one per bucket of documents: (chunk_id, doc_uri,
+content_hash, chunk_to_embed, op, version, batch, bucket). A batch writes only what it brings, into its own folder, so that a batch
+that runs twice after a failure overwrites itself and is counted once; and it reads only the buckets of its own documents, so that its
+cost goes by its size and not by the log's. ``compact`` folds the log into its live part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crownledger.schemas import struct
 
 LOG_SCHEMA = struct(
-    "chunk_id string, doc_uri string, content_hash string, chunk_to_embed string, op string, version bigint, batch bigint"
+    "chunk_id string, doc_uri string, content_hash string, chunk_to_embed string, op string, version bigint, batch bigint, bucket int"
 )
+BUCKETS = 64  # of documents; a log keeps the number it was begun with
 ENTRY = ["content_hash", "chunk_to_embed", "op"]
 
 
@@ -27,6 +29,15 @@ def change_log(spark: SparkSession, index: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "false").parquet(index)
 
 
+def bucket(doc_uri: str = "doc_uri", buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(doc_uri), F.lit(buckets)).cast("int")
+
+
+def put(entries: DataFrame, folder: str) -> None:
+    """Write the entries of one batch, replacing what an earlier attempt left, one file per bucket."""
+    entries.withColumn("bucket", bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+
+
 def current_index(log: DataFrame) -> DataFrame:
     """Live chunks: the latest entry per chunk of each document's newest version; no rows for deleted documents.
 
@@ -46,12 +57,13 @@ def sync_batch(spark: SparkSession, batch: DataFrame, batch_id: int, index: str)
 
     Of rows that repeat a chunk of one version in a batch, that with the greatest text counts. ``op`` tells what the row did to
     the index before the batch: I for a new chunk, U for a changed text, K for a kept one, D for a deleted
-    document. Only hashes of the batch's documents are read from the log, and only from earlier
+    document. Only hashes of the batch's documents are read from the log, only from their buckets and only from earlier
     batches, so that a repeated batch sees the same state again.
     """
     given = batch.groupBy("chunk_id", "doc_uri", "version").agg(F.max("chunk_to_embed").alias("chunk_to_embed"))
     new = given.withColumn("content_hash", F.sha2("chunk_to_embed", 256))
-    log = change_log(spark, index).filter(F.col("batch") < batch_id)
+    own = [r["bucket"] for r in new.select(bucket().alias("bucket")).distinct().collect()]  # at most BUCKETS
+    log = change_log(spark, index).filter((F.col("batch") < batch_id) & F.col("bucket").isin(own))
     touched = log.join(new.select("doc_uri").distinct(), "doc_uri", "left_semi")
     before = current_index(touched).select("chunk_id", F.col("content_hash").alias("_before"))
     op = (
@@ -61,7 +73,7 @@ def sync_batch(spark: SparkSession, batch: DataFrame, batch_id: int, index: str)
         .otherwise("K")
     )
     entries = new.join(before, "chunk_id", "left").withColumn("op", op)
-    entries.select("chunk_id", "doc_uri", *ENTRY, "version").write.mode("overwrite").parquet(f"{index}/batch={batch_id}")
+    put(entries.select("chunk_id", "doc_uri", *ENTRY, "version"), f"{index}/batch={batch_id}")
 
 
 def compact(spark: SparkSession, index: str, target: str) -> None:
@@ -73,12 +85,17 @@ def compact(spark: SparkSession, index: str, target: str) -> None:
         F.lit(None).cast("string").alias("chunk_to_embed"), F.lit("D").alias("op"), "version",
     )
     live = current_index(log).withColumn("op", F.lit("K"))
-    live.select(*marks.columns).unionByName(marks).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    put(live.select(*marks.columns).unionByName(marks), f"{target}/batch=-1")
+
+
+def begin(spark: SparkSession, index: str) -> None:
+    """An empty log, unless there is one."""
+    spark.createDataFrame([], LOG_SCHEMA).drop("batch", "bucket").write.mode("ignore").parquet(f"{index}/batch=-1/bucket=0")
 
 
 def stream_sync(spark: SparkSession, chunks: str, schema: T.StructType, index: str, checkpoint: str) -> DataFrame:
     """Sync all chunk files that are available now and return the current index."""
-    spark.createDataFrame([], LOG_SCHEMA).drop("batch").write.mode("ignore").parquet(f"{index}/batch=-1")
+    begin(spark, index)
     stream = spark.readStream.schema(schema).parquet(chunks)
     writer = stream.writeStream.foreachBatch(lambda df, i: sync_batch(spark, df, i, index))
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -144,7 +144,7 @@ def test_index_sync_is_incremental_and_repeatable(spark, tmp_path):
 
 def test_index_sync_takes_documents_in_parts_and_deletions(spark, tmp_path):
     index, part = str(tmp_path / "index"), iter(range(10))
-    spark.createDataFrame([], sync.LOG_SCHEMA).drop("batch").write.parquet(f"{index}/batch=-1")
+    sync.begin(spark, index)
     put_batch = lambda *r: sync.sync_batch(spark, spark.createDataFrame(list(r), CHUNKS), next(part), index)
     live = lambda: rows(sync.current_index(sync.change_log(spark, index)), "chunk_id", "chunk_to_embed")
     put_batch(("c0", "d", "x", 1), ("c1", "d", "y", 1), ("e0", "e", "z", 1))
@@ -163,6 +163,52 @@ def test_index_sync_takes_documents_in_parts_and_deletions(spark, tmp_path):
     assert live() == [("c0", "b"), ("e0", "back")]
 
 
+def test_a_batch_reads_only_the_buckets_of_its_documents(spark, tmp_path, monkeypatch):
+    index = str(tmp_path / "index")
+    sync.begin(spark, index)
+    many = [(f"c{d}-{i}", f"doc{d}", f"text {i}", 1) for d in range(200) for i in range(3)]
+    sync.sync_batch(spark, spark.createDataFrame(many, CHUNKS), 0, index)
+    read = []
+    plain = sync.change_log
+    monkeypatch.setattr(sync, "current_index", lambda log, f=sync.current_index: read.append(log) or f(log))
+    sync.sync_batch(spark, spark.createDataFrame([("c7-0", "doc7", "new", 2)], CHUNKS), 1, index)
+    plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    own = plain(spark, index).filter("doc_uri = 'doc7'").select("bucket").distinct().collect()
+    assert len(own) == 1 and f"bucket#" in plan and "PartitionFilters" in plan
+    assert f"= {own[0][0]})" in plan or f"IN ({own[0][0]})" in plan
+    assert rows(plain(spark, index).filter("batch = 1"), "chunk_id", "op") == [("c7-0", "U")]
+
+
+def json_lines(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_a_stream_takes_up_new_fields(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "root")
+    declared = spark.createDataFrame([], "id bigint, name string").schema
+    load = lambda: ingest.evolving_stream(spark, str(raw), declared, root)
+    json_lines(raw, "a.json", '{"id": 1, "name": "x"}', '{"id": 2}')
+    assert load() == 2 and ingest.evolved(spark, root).columns == ["id", "name"]
+    json_lines(raw, "b.json", '{"id": 3, "name": "y", "amount": 5, "seen": "2020-01-02"}', '{"id": 4, "amount": 7, "note": "n"}')
+    assert load() == 2  # kept aside by the running stream, columns from now on
+    out = ingest.evolved(spark, root)
+    assert dict(out.dtypes) == {"id": "bigint", "name": "string", "amount": "bigint", "note": "string", "seen": "date"}
+    assert rows(out, "id", "amount", "note") == [(1, None, None), (2, None, None), (3, 5, None), (4, 7, "n")]
+    json_lines(raw, "c.json", '{"id": 5, "amount": 9}')
+    assert load() == 1 and rows(ingest.evolved(spark, root), "id", "amount")[-1] == (5, 9) and load() == 0
+    json_lines(raw, "d.json", '{"id": 6, "amount": "many"}')
+    with pytest.raises(Exception, match="type of amount changed"):
+        load()
+    assert ingest.evolved(spark, root).count() == 5
+
+
+def test_rows_that_differ_after_a_round_trip_are_counted(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, ""), (3, None)], "id long, t string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (3, None), (4, "y")], "id long, t string")
+    assert rows(files.differences(a, a, "t")) == [("t", 4, 0)] and rows(files.differences(a, b, "t")) == [("t", 4, 2)]
+
+
 def test_quoted_cells_and_fractions(spark, tmp_path):
     schema = spark.createDataFrame([], "id bigint, note string").schema
     text = 'id,note\n1,"say ""hi"""\n2.0,"a ""b"" c, d"\n3,"two\nlines"\n,""\n'
