@@ -34,7 +34,7 @@ WIDTH = 5  # words of a shingle
 CELLS = 1 << 22  # counters of features in a task
 FREQUENT_CELLS = 1 << 18  # cells that are broadcast, at most
 BITMAP_BITS = (64, 1 << 14)  # of a text's bitmap, least and most
-SHARD_BYTES = 16 << 20  # of entries in one shuffle partition
+SHARD_BYTES = 8 << 20  # of text, whose entries are one shuffle partition
 HELD = 1 << 18  # entries that a task holds before it sends them
 MORE_LEADERS = 8  # times as many leaders in each round
 ENTRY = np.dtype([("feature", "<u8"), ("text_id", "<i8"), ("n", "<u4"), ("at", "<u4")])

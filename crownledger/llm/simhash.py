@@ -33,10 +33,10 @@ from crownledger.sources.scratch import written
 
 SEED = 42
 DEPTHS = (16, 32, 48)  # leading bits that are a shuffle key, at first and where too many would meet
-HOT_VARIANTS = 1 << 22  # more than these under one key are split
+HOT_VARIANTS = 1 << 20  # more than these under one key are split
 HOT_KEYS = 1 << 17  # keys of one depth that are split, at most; they are broadcast
-SHARD_BYTES = 16 << 20  # of (key, fingerprint) entries in one shuffle partition
-CHUNK = 1 << 20  # variants that a task holds at once
+SHARD_BYTES = 8 << 20  # of (key, fingerprint) entries in one shuffle partition
+CHUNK = 1 << 19  # variants that a task holds at once
 SIMILARITY = 0.8  # of five-word shingles
 
 
@@ -65,10 +65,9 @@ def fingerprints(docs: DataFrame, key: Column, text: str = "text", width: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            columns = [batch.column(0), batch.column(2), pa.array([fingerprint(t, width) for t in texts], pa.int64())]
+            columns = [batch.column(0), batch.column(2), pa.array([fingerprint(t.as_py(), width) for t in batch.column(1)], pa.int64())]
             if bitmaps:
-                columns.append(pa.array([bitmap(features(t)) for t in texts], pa.binary()))
+                columns.append(pa.array([bitmap(features(t.as_py())) for t in batch.column(1)], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, out.names)
 
     return rows.mapInArrow(run, out)
