@@ -2,7 +2,8 @@
 
 The reader checks every record: the member's CRC, the version line, the header's length against the content, and the
 block digest. After a failed check it searches for the next place where a whole record can be read, a
-compressed member or a version line, goes on from there and reports the bytes between as a gap.
+compressed member or a version line, goes on from there and reports the bytes between as a gap. A member may hold many records;
+it is unpacked piece by piece, first to check it and then to read its records, so that memory holds one record, of ``RECORD_BYTES`` at most.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from crownledger.sources.scratch import written
 
 LEAST_BYTES = 100  # smaller payloads are stored every time
 READ = 1 << 18
-HEAD = 1 << 20  # the longest header of a record that is not compressed
+HEAD = 1 << 20  # the longest header of a record
+RECORD_BYTES = 1 << 30  # the longest record that is read; a longer one is a gap
 BATCH_BYTES = 8 << 20
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -37,10 +39,13 @@ class Damaged(Exception):
 
 @dataclass
 class Record:
+    """``offset`` and ``length`` are those in the file; records that share a member have its, and ``inner`` tells where they begin in it."""
+
     offset: int
     length: int
     headers: dict[str, str]
     block: bytes
+    inner: int = 0
 
     @property
     def payload(self) -> bytes:
@@ -58,6 +63,7 @@ class Gap:
     offset: int
     length: int
     reason: str
+    inner: int = 0
 
 
 def build(kind: str, record_id: str, uri: str, payload: bytes, digest: str, refers_to: str | None, date: str) -> bytes:
@@ -81,62 +87,131 @@ def build(kind: str, record_id: str, uri: str, payload: bytes, digest: str, refe
     return packer.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def _parsed(offset: int, length: int, data: bytes, whole: bool) -> Record:
-    """The record in ``data``; ``length`` is that in the file, or taken from the header if not ``whole``."""
-    if not VERSION.match(data):
-        raise Damaged("version")
-    head, found, rest = data.partition(b"\r\n\r\n")
-    if not found:
-        raise Damaged("header")
+def _headers(head: bytes) -> dict[str, str]:
     headers = {}
     for line in head.split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header")
         headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+    return headers
+
+
+class Bytes:
+    """A stream that is read piece by piece: of a file from ``offset`` on, or of what a member there holds."""
+
+    def __init__(self, file: pa.NativeFile, offset: int, packed: bool):
+        self.file, self.at, self.held, self.taken = file, offset, b"", 0
+        self.unpack = zlib.decompressobj(31) if packed else None
+
+    def more(self) -> bool:
+        """Reads one more piece; False at the end."""
+        unpack = self.unpack
+        if unpack is None:
+            piece = self.file.read_at(READ, self.at)
+            self.at += len(piece)
+        elif unpack.eof:
+            return False
+        else:
+            try:
+                given = unpack.unconsumed_tail or self.file.read_at(READ, self.at)
+                self.at += 0 if unpack.unconsumed_tail else len(given)
+                piece = unpack.decompress(given, READ)
+            except zlib.error as e:
+                raise Damaged("member") from e
+            if not given:
+                raise Damaged("member")
+            if not piece:
+                return not unpack.eof
+        self.held += piece
+        return bool(piece)
+
+    def fill(self, n: int) -> bool:
+        """Whether ``n`` bytes are held, after reading on if need be."""
+        if len(self.held) < n:
+            parts, size = [self.held], len(self.held)
+            while size < n:
+                self.held = b""
+                if not self.more():
+                    break
+                parts.append(self.held)
+                size += len(self.held)
+            self.held = b"".join(parts)
+        return len(self.held) >= n
+
+    def take(self, n: int) -> bytes:
+        out, self.held = self.held[:n], self.held[n:]
+        self.taken += len(out)
+        return out
+
+
+def _member(file: pa.NativeFile, offset: int) -> tuple[int, int]:
+    """End in the file and unpacked size of the whole member that begins at ``offset``."""
+    stream = Bytes(file, offset, True)
+    if not VERSION.match(stream.held) and stream.fill(10) and not VERSION.match(stream.held):
+        raise Damaged("version")
+    stream.take(len(stream.held))
+    while stream.more():
+        stream.take(len(stream.held))
+    return stream.at - len(stream.unpack.unused_data), stream.taken
+
+
+def _record(stream: Bytes, left: int) -> tuple[dict[str, str], bytes]:
+    """The record that begins in the stream, of which at most ``left`` bytes are to come."""
+    if not stream.fill(10) or not VERSION.match(stream.held):
+        raise Damaged("version")
+    while b"\r\n\r\n" not in stream.held:
+        if len(stream.held) >= HEAD or not stream.fill(len(stream.held) + 1):
+            raise Damaged("header")
+    begin = stream.held.index(b"\r\n\r\n") + 4
+    headers = _headers(stream.held[: begin - 4])
     size = headers.get("content-length", "")
-    if not size.isdecimal():
+    if not size.isdecimal() or len(size) > 18 or begin + int(size) + 4 > min(left, RECORD_BYTES) or not stream.fill(begin + int(size) + 4):
         raise Damaged("length")
-    block, tail = rest[: int(size)], rest[int(size) : int(size) + 4]
-    if len(block) != int(size) or tail != b"\r\n\r\n" or whole and len(rest) != int(size) + 4:
+    end = begin + int(size)
+    block = stream.held[begin:end]
+    if stream.held[end : end + 4] != b"\r\n\r\n":
         raise Damaged("length")
     digest = headers.get("warc-block-digest", "")
     if digest.startswith("sha256:") and digest[7:] != hashlib.sha256(block).hexdigest():
         raise Damaged("digest")
-    return Record(offset, length if whole else len(head) + len(found) + int(size) + 4, headers, block)
-
-
-def record_at(file: pa.NativeFile, offset: int) -> Record:
-    """The record that begins at ``offset``, or :class:`Damaged`. Memory: one record."""
-    chunk = file.read_at(READ, offset)
-    if chunk.startswith(b"\x1f\x8b"):
-        unpack, parts, end = zlib.decompressobj(31), [], offset
-        try:
-            while not unpack.eof:
-                if not chunk:
-                    raise Damaged("member")
-                parts.append(unpack.decompress(chunk))
-                end += len(chunk)
-                if not VERSION.match(parts[0][:10]) and len(parts[0]) >= 10:
-                    raise Damaged("version")
-                chunk = b"" if unpack.eof else file.read_at(READ, end)
-        except zlib.error as e:
-            raise Damaged("member") from e
-        return _parsed(offset, end - len(unpack.unused_data) - offset, b"".join(parts), True)
-    if not VERSION.match(chunk):
-        raise Damaged("version")
-    while b"\r\n\r\n" not in chunk and len(chunk) < HEAD:
-        more = file.read_at(len(chunk), offset + len(chunk))
-        if not more:
-            raise Damaged("header")
-        chunk += more
-    size = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d{1,15})\r\n", chunk.partition(b"\r\n\r\n")[0] + b"\r\n")
-    if not size:
-        raise Damaged("length")
-    need = chunk.index(b"\r\n\r\n") + 8 + int(size[1]) if b"\r\n\r\n" in chunk else 0
-    if need > len(chunk):
-        chunk = file.read_at(need, offset)
-    return _parsed(offset, 0, chunk, False)
+    stream.take(end + 4)
+    return headers, block
+
+
+def records_at(file: pa.NativeFile, offset: int, size: int) -> tuple[int, Iterator[Record | Gap]]:
+    """Where the record or member at ``offset`` ends, and what it holds: a whole record at first, or it is :class:`Damaged`."""
+    if not file.read_at(2, offset) == b"\x1f\x8b":
+        stream = Bytes(file, offset, False)
+        headers, block = _record(stream, size - offset)
+        return offset + stream.taken, iter([Record(offset, stream.taken, headers, block)])
+    end, inside = _member(file, offset)
+    stream = Bytes(file, offset, True)
+    first = Record(offset, end - offset, *_record(stream, inside))
+
+    def rest() -> Iterator[Record | Gap]:
+        yield first
+        begin, reason = stream.taken, ""
+        while stream.taken < inside:
+            at = stream.taken
+            try:
+                headers, block = _record(stream, inside - at)
+            except Damaged as e:
+                reason = reason or str(e)
+                # on to the next version line, held in pieces of READ
+                stream.take(1)
+                while stream.fill(10) and not (found := VERSION.search(stream.held)):
+                    stream.take(max(1, len(stream.held) - 9))
+                stream.take(found.start() if len(stream.held) >= 10 and found else len(stream.held))
+                continue
+            if at > begin:
+                yield Gap(offset, end - offset, reason, begin)
+            yield Record(offset, end - offset, headers, block, at)
+            begin, reason = stream.taken, ""
+        if begin < inside:
+            yield Gap(offset, end - offset, reason, begin)
+
+    return end, rest()
 
 
 def salvage(file: pa.NativeFile, size: int) -> Iterator[Record | Gap]:
@@ -144,24 +219,25 @@ def salvage(file: pa.NativeFile, size: int) -> Iterator[Record | Gap]:
     offset = 0
     while offset < size:
         try:
-            record = record_at(file, offset)
+            end, records = records_at(file, offset, size)
         except Damaged as e:
             begin, reason = offset, str(e)
-            offset, record = _next(file, offset + 1, size)
+            offset, found = _next(file, offset + 1, size)
             yield Gap(begin, offset - begin, reason)
-            if record is None:
+            if found is None:
                 return
-        yield record
-        offset = record.offset + record.length
+            end, records = found
+        yield from records
+        offset = end
 
 
-def _next(file: pa.NativeFile, offset: int, size: int) -> tuple[int, Record | None]:
-    """The first place from ``offset`` on where a whole record begins; the end of the file if none does."""
+def _next(file: pa.NativeFile, offset: int, size: int) -> tuple[int, tuple[int, Iterator[Record | Gap]] | None]:
+    """The first place from ``offset`` on where a whole record begins, with what is there; the end of the file if none does."""
     while offset < size:
         chunk = file.read_at(READ, offset)
         for begin in BEGIN.finditer(chunk):
             try:
-                return offset + begin.start(), record_at(file, offset + begin.start())
+                return offset + begin.start(), records_at(file, offset + begin.start(), size)
             except Damaged:
                 pass
         if offset + len(chunk) >= size:

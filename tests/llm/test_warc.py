@@ -22,6 +22,8 @@ def found(data):
 def covered(parts, size):
     at = 0
     for p in parts:
+        if p.inner:  # of the same member as the one before
+            continue
         assert p.offset == at
         at += p.length
     assert at == size
@@ -65,6 +67,45 @@ def test_damage_costs_only_the_record_it_hits(pieces, kind):
     assert len(gaps) == 1 and gaps[0].reason and gaps[0].offset == sum(map(len, pieces[:hit]))
 
 
+def test_a_length_beyond_the_file_costs_one_record():
+    """A damaged digit must neither fill the memory nor take the next record along."""
+    bad = PLAIN[1].replace(b"Content-Length: ", b"Content-Length: 999999999", 1)
+    for first in (bad, gzip.compress(bad), PLAIN[1].replace(b"Content-Length: ", b"Content-Length: " + b"9" * 30, 1)):
+        data = first + PLAIN[2] + MEMBERS[3]
+        parts = found(data)
+        covered(parts, len(data))
+        assert [p.payload for p in parts if isinstance(p, R.Record)] == PAYLOADS[2:4]
+        assert [(p.offset, p.reason) for p in parts if isinstance(p, R.Gap)] == [(0, "length")]
+
+
+def test_many_records_in_one_member(monkeypatch):
+    monkeypatch.setattr(R, "READ", 1000)
+    data = MEMBERS[0] + gzip.compress(b"".join(PLAIN[1:5])) + MEMBERS[5]
+    parts = found(data)
+    covered(parts, len(data))
+    assert [p.payload for p in parts] == PAYLOADS[:6] and [p.inner for p in parts[2:5]] != [0, 0, 0]
+    hurt = PLAIN[3][:200] + b"?" * 50 + PLAIN[3][250:]
+    for middle in (b"lost words", hurt):
+        packed = gzip.compress(PLAIN[1] + PLAIN[2] + middle + PLAIN[4])
+        parts = found(MEMBERS[0] + packed + MEMBERS[5])
+        assert [p.payload for p in parts if isinstance(p, R.Record)] == [PAYLOADS[i] for i in (0, 1, 2, 4, 5)]
+        assert [(p.offset, p.inner) for p in parts if isinstance(p, R.Gap)] == [(len(MEMBERS[0]), len(PLAIN[1] + PLAIN[2]))]
+    parts = found(gzip.compress(PLAIN[1] + b"tail that is none"))
+    assert [type(p) for p in parts] == [R.Record, R.Gap]
+
+
+def test_unpacking_holds_one_piece_at_a_time():
+    """A member that swells is checked piece by piece; nothing of it is kept."""
+    import tracemalloc
+
+    bomb = gzip.compress(b"WARC/1.1\r\nContent-Length: 99999999999\r\n\r\n" + bytes(200 << 20), 1)
+    tracemalloc.start()
+    parts = found(bomb + MEMBERS[1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [p.payload for p in parts if isinstance(p, R.Record)] == [PAYLOADS[1]] and peak < 20 << 20
+
+
 def test_damage_across_reads_and_hopeless_files(monkeypatch):
     monkeypatch.setattr(R, "READ", 64)
     for pieces in (MEMBERS[:4], PLAIN[:4]):
