@@ -1,23 +1,23 @@
 """License scans by conditional compression.
 
-A candidate block is compressed once alone and once per template with the template as a raw zstandard dictionary.
-The templates are taken by saving and confirmed by the wording itself: the words of the template that the block
-lacks, and the words it has instead. Saving orders them and drops none; a template is left out only if the block
-has too few of its words in any order, since the comparison in order cannot find more.
-
-Candidate blocks are the words around each anchor word (:data:`ANCHOR`), as many on either side as the longest
-template has; a notice without any anchor word is not a candidate. Long texts cost one search for anchors, and
-every anchor a block of bounded length.
+A candidate block is compressed once alone and once per template with the template as a raw zstandard dictionary. The
+template that saves most bytes explains most of the block, so templates are tried in that order, and the first whose wording confirms
+is the notice: a share of its words must be there in order, and the words that the block lacks, or has instead, are reported.
+The order decides between templates of which one is a part of another; it drops none, for the walk goes on until one confirms.
+
+Candidate blocks are the words around each anchor, as many on either side as the longest template has. The anchors come from
+the templates: of each the longest words, one more than a notice may lack, so that no notice is without any. Texts
+without anchors are passed over by one look at their words.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from math import ceil
 
 import pyarrow as pa
 import zstandard
@@ -67,7 +67,8 @@ TEMPLATES = {
 }
 
 WORD = re.compile(rb"[0-9A-Za-z]+(?:[.-][0-9A-Za-z]+)*")
-ANCHOR = re.compile(rb"(?i)licen[sc]|copyright|permission|redistribut|rights reserved|mozilla|gnu ")
+#: Bytes that are no part of a plain word become spaces, A-Z become a-z.
+LETTERS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if chr(c).isascii() and chr(c).isalnum() else 0x20 for c in range(256))
 
 
 @dataclass(frozen=True)
@@ -87,29 +88,35 @@ class Template:
         self.name, data = name, text.encode()
         self.words = [w.lower() for w in WORD.findall(data)]
         self.bag = Counter(self.words)
+        self.size = len(self.words)
         self.packer = zstandard.ZstdCompressor(
             level=LEVEL, dict_data=zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False
         )
 
 
+    def anchors(self, similarity: float) -> list[bytes]:
+        """The longest plain words of the template, one more than a notice may lack: each notice has one of them."""
+        lacking = self.size - ceil(similarity * self.size - 1e-9)
+        return sorted((w for w in self.bag if w.isalnum()), key=lambda w: (-len(w), w))[: lacking + 1]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str] = TEMPLATES, similarity: float = SIMILARITY):
         self.templates = [Template(*t) for t in templates.items()]
         self.similarity = similarity
-        self.reach = max(len(t.words) for t in self.templates)
+        self.reach = max((t.size for t in self.templates), default=0)
+        self.anchors = {w for t in self.templates for w in t.anchors(similarity)}
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
     def notices(self, text: bytes) -> list[Notice]:
         """The notices of a text by place; they do not overlap."""
-        anchors = [m.start() for m in ANCHOR.finditer(text)]
-        if not anchors:
+        if self.anchors.isdisjoint(text.translate(LETTERS).split()):
             return []
         words = list(WORD.finditer(text))
-        starts = [w.start() for w in words]
+        anchors = [i for i, w in enumerate(words) if not self.anchors.isdisjoint(w[0].translate(LETTERS).split())]
         found: list[Notice] = []
         done = 0  # words before are parts of notices or have been compared
-        for anchor in anchors:
-            at = bisect_left(starts, anchor)
+        for at in anchors:
             while at >= done:
                 low = max(done, at - self.reach)
                 own, last = self._in_block(text, words[low : at + self.reach])
@@ -119,26 +126,28 @@ class Scanner:
                 done = low + last
         return found
 
+    def savings(self, block: bytes) -> list[int]:
+        """Bytes that each template saves when the block is compressed with it."""
+        alone = len(self.plain.compress(block))
+        return [alone - len(t.packer.compress(block)) for t in self.templates]
+
     def _in_block(self, text: bytes, words: list[re.Match[bytes]]) -> tuple[list[Notice], int]:
-        """The notice of a block with most matching words, those before it, and the number of words up to its end."""
+        """The notice of a block that explains most of it, those before it, and the number of words up to its end."""
         if not words:
             return [], 0
-        block = text[words[0].start() : words[-1].end()]
-        alone = len(self.plain.compress(block))
-        savings = sorted(((alone - len(t.packer.compress(block)), -i) for i, t in enumerate(self.templates)), reverse=True)
+        saved = self.savings(text[words[0].start() : words[-1].end()])
         own = [w[0].lower() for w in words]
-        bag, best = Counter(own), None
-        for saved, i in savings:
-            template = self.templates[-i]
+        bag = Counter(own)
+        for i in sorted(range(len(saved)), key=lambda i: (-saved[i], i)):
+            template = self.templates[i]
             common = sum(min(n, bag[w]) for w, n in template.bag.items())
-            match = self._confirmed(template, own) if common >= self.similarity * len(template.words) else None
-            if match and (best is None or match[2] > best[0]):
+            match = self._confirmed(template, own) if common >= self.similarity * template.size else None
+            if match:
                 first, last, equal, differences = match
                 place = words[first].start(), words[last - 1].end()
-                best = equal, Notice(template.name, *place, saved, equal / len(template.words), differences), first, last
-        if best is None:
-            return [], 0
-        return [*self._in_block(text, words[: best[2]])[0], best[1]], best[3]
+                notice = Notice(template.name, *place, saved[i], equal / template.size, differences)
+                return [*self._in_block(text, words[:first])[0], notice], last
+        return [], 0
 
     def _confirmed(self, template: Template, own: list[bytes]) -> tuple[int, int, int, tuple[str, ...]] | None:
         """The place of the template's best occurrence among the words, if enough of it is there."""
@@ -195,4 +204,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
 
 
 def op5_licenses(docs: DataFrame) -> DataFrame:
+    """All notices of all texts, as :func:`scan` gives them.
+
+    Null and empty texts hold none; a repeated row repeats its notices; a null id is kept; an empty table gives no rows.
+    """
     return scan(docs)

@@ -50,6 +50,60 @@ def test_short_notice_beside_cut_texts_is_found(name):
         assert names(text) == [name]
 
 
+def plain_share(words, template):
+    """The largest share of a template's words that any window of the text has in order, by all windows."""
+    n, best = len(template), 0
+    for i in range(max(1, len(words) - n // 2)):
+        window = words[i : i + n + n // 4]
+        row = [0] * (n + 1)  # longest common subsequence
+        for w in window:
+            last = 0
+            for j, t in enumerate(template, 1):
+                last, row[j] = row[j], last + 1 if w == t else max(row[j], row[j - 1])
+        best = max(best, row[n])
+    return best / n
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_notices_equal_all_windows_against_all_templates(seed):
+    """Every template that some window has is reported, or a longer notice at its place; and nothing else is."""
+    rng = random.Random(seed)
+    parts = []
+    for name in rng.sample(list(L.TEMPLATES), 4):
+        words = L.TEMPLATES[name].split()
+        kind = rng.choice(["whole", "changed", "cut"])
+        if kind == "changed" and len(words) > 20:
+            for at in rng.sample(range(1, len(words)), len(words) // 12):
+                words[at] = "changed"
+        parts += [" ".join(words[: len(words) // 2] if kind == "cut" else words), " ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(1, 30)))]
+    text = "\n".join(parts)
+    found = SCANNER.notices(text.encode())
+    words = [w.lower() for w in L.WORD.findall(text.encode())]
+    for template in SCANNER.templates:
+        share = plain_share(words, template.words)
+        reported = [n for n in found if n.license == template.name]
+        assert share >= L.SIMILARITY or not reported
+        if share >= L.SIMILARITY and not reported:
+            inside = [n for n in found if plain_share([w.lower() for w in L.WORD.findall(text.encode()[n.start : n.end])], template.words) >= L.SIMILARITY]
+            assert inside, template.name
+
+
+def test_the_saving_decides(monkeypatch):
+    """Without it the short notice inside a long one is taken first."""
+    assert names(L.TEMPLATES["Apache"]) == ["Apache"]
+    monkeypatch.setattr(L.Scanner, "savings", lambda self, block: [0] * len(self.templates))
+    assert names(L.TEMPLATES["Apache"]) != ["Apache"]
+
+
+def test_anchors_come_from_the_templates():
+    own = {"house": "Guests must leave their umbrellas outside the kitchen before supper every evening of the week."}
+    scanner = L.Scanner(own)
+    assert [n.license for n in scanner.notices(("so " * 300 + own["house"] + " then " * 300).encode())] == ["house"]
+    lacking = own["house"].replace("umbrellas", "").replace("outside", "")
+    assert [n.license for n in scanner.notices(lacking.encode())] == ["house"]
+    assert b"license" not in scanner.anchors and scanner.notices(b"license " * 50) == [] and L.Scanner({}).notices(b"license") == []
+
+
 def test_versions_are_differences():
     found = SCANNER.notices(b"Licensed under the Apache License, Version 3.1.")
     assert found[0].license == "Apache-short" and found[0].differences == ("-2.0", "+3.1")
