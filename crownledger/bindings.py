@@ -512,6 +512,17 @@ class Lake:
         """Elements of all web pages."""
         return documents.flatten(documents.parse_documents(self.pages()))
 
+    @_shared
+    def element_lists(self) -> DataFrame:
+        """The elements of all web pages, one list per page."""
+        return documents.element_lists(documents.parse_documents(self.pages()))
+
+    @_shared
+    def text_lists(self) -> DataFrame:
+        """Plain documents as lists of one element."""
+        own = F.struct("element_id", "page", "type", "content").cast(documents.ELEMENT)
+        return self.texts().select("doc_uri", F.array(own).alias("elements"))
+
     @_shared
     def texts(self) -> DataFrame:
         """Plain documents as one element each: they have no headings and no pages."""

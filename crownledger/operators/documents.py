@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownledger.functions import exprs as X
@@ -28,7 +28,7 @@ BLOCKS = {
 }
 BLOCK = r"(?is)<(/?)(" + "|".join(sorted(BLOCKS)) + r")(?:\s[^>]*)?/?>"
 
-# Every character that counts as white space, up to the ideographic blank: stripped from the ends of a chunk.
+# Every character that counts as white space, up to the ideographic blank; stripped from the ends of a chunk.
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
@@ -163,34 +163,72 @@ def chunk_table(elements: DataFrame, size: int = 1000, overlap: int = 150, key:
     )
 
 
+ELEMENT = "struct<element_id: int, page: int, type: string, content: string>"
+PIECE = "struct<page: int, header: string, content: string>"
+
+
+def element_lists(parsed: DataFrame) -> DataFrame:
+    """(doc_uri, elements): the elements of every parsed document as one array, in order; failed documents are dropped."""
+    ok = parsed.filter(F.variant_get("parsed", "$.error_status", "string").isNull())
+    kind = "array<struct<id: int, page_id: int, type: string, content: string>>"
+    read = F.filter(F.variant_get("parsed", "$.document.elements", kind), lambda e: e["content"].isNotNull())
+    return ok.select("doc_uri", read.cast(f"array<{ELEMENT}>").alias("elements"))
+
+
+def listed(elements: DataFrame) -> DataFrame:
+    """The same from rows of elements, which are collected by document; rows that are lists already pass through."""
+    if "elements" in elements.columns:
+        return elements
+    own = F.struct(*[F.col(c).cast(t).alias(c) for c, t in (("element_id", "int"), ("page", "int"), ("type", "string"), ("content", "string"))])
+    return elements.groupBy("doc_uri").agg(F.array_sort(F.collect_list(own)).alias("elements"))
+
+
+def sections(elements: Column, max_chars: int) -> Column:
+    """The chunks of one document's elements as an array, by a fold over them that carries the section, its offset and the open chunk."""
+    none = F.lit(None).cast(PIECE)
+    start = F.struct(
+        F.array().cast(f"array<{PIECE}>").alias("done"), none.alias("piece"), F.lit(None).cast("string").alias("header"),
+        F.lit(0).cast("bigint").alias("offset"), F.lit(-1).cast("bigint").alias("slice"),
+    )
+
+    def add(acc: Column, e: Column) -> Column:
+        heading = e["type"] == "heading"
+        offset = F.when(heading, F.lit(0).cast("bigint")).otherwise(acc["offset"])
+        part = F.floor(offset / F.lit(max_chars)).cast("bigint")
+        header = F.when(heading, e["content"]).otherwise(acc["header"])
+        piece = acc["piece"]
+        fresh = piece.isNull() | heading | (part != acc["slice"])
+        joined = F.struct(F.least(piece["page"], e["page"]).alias("page"), piece["header"].alias("header"), F.concat_ws(" ", piece["content"], e["content"]).alias("content"))
+        opened = F.struct(e["page"].alias("page"), header.alias("header"), e["content"].alias("content"))
+        return F.struct(
+            F.when(fresh & piece.isNotNull(), F.concat(acc["done"], F.array(piece))).otherwise(acc["done"]).alias("done"),
+            F.when(fresh, opened).otherwise(joined).cast(PIECE).alias("piece"),
+            header.alias("header"),
+            (offset + F.length(e["content"])).cast("bigint").alias("offset"),
+            part.alias("slice"),
+        )
+
+    def finish(acc: Column) -> Column:
+        return F.when(acc["piece"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["piece"])))
+
+    return F.aggregate(F.filter(elements, lambda e: e["type"] != "title"), start, add, finish)
+
+
 def chunk_semantic(elements: DataFrame, max_chars: int = 3000) -> DataFrame:
     """Chunks that start at headings and are closed after ``max_chars`` characters of a section.
 
     A section runs from a heading to the next one. Inside it, elements share a chunk while their
     start offset lies in the same ``max_chars`` slice, so no chunk exceeds the limit by more than one
-    element and the text collected per chunk is bounded. All elements of a document come from one
-    source row, which bounds the window. A chunk may span pages and cites the first one.
+    element. A chunk may span pages and cites the first one. Given lists of elements per document (:func:`element_lists`),
+    chunks are cut inside the row and no text is shuffled.
     """
-    in_doc = Window.partitionBy("doc_uri").orderBy("element_id").rowsBetween(Window.unboundedPreceding, 0)
-    heading = (F.col("type") == "heading").cast("int")
-    body = elements.filter(F.col("type") != "title").withColumn("section", F.sum(heading).over(in_doc))
-    in_section = (
-        Window.partitionBy("doc_uri", "section").orderBy("element_id").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offset = F.coalesce(F.sum(F.length("content")).over(in_section), F.lit(0))
-    sliced = body.withColumn("slice", F.floor(offset / F.lit(max_chars)))
-    whole_section = Window.partitionBy("doc_uri", "section")
-    named = sliced.withColumn("header", F.max(F.when(F.col("type") == "heading", F.col("content"))).over(whole_section))
-    chunks = named.groupBy("doc_uri", "section", "slice").agg(
-        F.min("page").alias("page"),
-        F.max("header").alias("header"),
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("element_id", "content"))), lambda e: e["content"]), " "
-        ).alias("content"),
-    )
-    position = Window.partitionBy("doc_uri").orderBy("section", "slice")
-    placed = chunks.withColumn("chunk_position", F.row_number().over(position) - 1)
-    return placed.select(
+    return _placed(listed(elements).select("doc_uri", F.posexplode(sections(F.col("elements"), max_chars)).alias("chunk_position", "piece")))
+
+
+def _placed(pieces: DataFrame, *more: str) -> DataFrame:
+    """Rows (doc_uri, chunk_position, piece) as chunks with their key, and further columns."""
+    flat = pieces.select("doc_uri", "piece.page", "chunk_position", "piece.content", "piece.header", *more)
+    return flat.select(
         X.stable_key("doc_uri", "page", "chunk_position").alias("chunk_id"),
         "doc_uri",
         "page",
@@ -198,32 +236,43 @@ def chunk_semantic(elements: DataFrame, max_chars: int = 3000) -> DataFrame:
         "content",
         "header",
         F.lit("semantic").alias("chunk_method"),
+        *more,
     )
 
 
+def title_of(elements: Column) -> Column:
+    """A document's title: the first one where it carries several."""
+    return F.try_element_at(F.filter(elements, lambda e: e["type"] == "title"), F.lit(1))["content"]
+
+
+def context() -> Column:
+    """The text to embed: title, section header and page in front of the chunk."""
+    return F.concat_ws("\n", "title", "header", F.concat(F.lit("Page "), F.col("page").cast("string")), "content")
+
+
 def enrich(chunks: DataFrame, titles: DataFrame) -> DataFrame:
-    """Adds the text to embed: title, section header and page in front of the chunk; the content stays clean."""
-    context = F.concat_ws(
-        "\n", "title", "header", F.concat(F.lit("Page "), F.col("page").cast("string")), "content"
-    )
-    return (
-        chunks.join(titles, "doc_uri", "left").withColumn("chunk_to_embed", context).select(*CHUNK_COLUMNS)
-    )
+    """Adds the text to embed, with titles from a table; the content stays clean."""
+    return chunks.join(titles, "doc_uri", "left").withColumn("chunk_to_embed", context()).select(*CHUNK_COLUMNS)
 
 
 def document_titles(elements: DataFrame) -> DataFrame:
-    """Title per document; the first one where a page carries several."""
-    titles = elements.filter(F.col("type") == "title")
-    return titles.groupBy("doc_uri").agg(F.min_by("content", "element_id").alias("title"))
+    """Title per document that has one."""
+    return listed(elements).select("doc_uri", title_of(F.col("elements")).alias("title")).filter("title is not null")
+
+
+def chunk_enriched(elements: DataFrame, max_chars: int = 3000) -> DataFrame:
+    """Semantic chunks with the text to embed; the title comes from the same row."""
+    pieces = F.posexplode(sections(F.col("elements"), max_chars)).alias("chunk_position", "piece")
+    cut = listed(elements).select("doc_uri", title_of(F.col("elements")).alias("title"), pieces)
+    return _placed(cut, "title").withColumn("chunk_to_embed", context()).select(*CHUNK_COLUMNS)
 
 
 def chunk(elements: DataFrame, max_chars: int = 3000, size: int = 1000, overlap: int = 150) -> DataFrame:
     """Semantic chunks for documents with headings, fixed windows for the others; one schema."""
-    per_doc = Window.partitionBy("doc_uri")
-    flagged = elements.withColumn("_headed", F.max(F.col("type") == "heading").over(per_doc))
-    headed, plain = flagged.filter("_headed").drop("_headed"), flagged.filter("not _headed").drop("_headed")
-    semantic = enrich(chunk_semantic(headed, max_chars), document_titles(headed))
-    return semantic.unionByName(chunk_table(plain, size, overlap, ("element_id",)))
+    headed = F.exists("elements", lambda e: e["type"] == "heading")
+    lists = listed(elements)
+    plain = lists.filter(~headed).select("doc_uri", F.inline("elements"))
+    return chunk_enriched(lists.filter(headed), max_chars).unionByName(chunk_table(plain, size, overlap, ("element_id",)))
 
 
 def chunk_stats(chunks: DataFrame) -> DataFrame:

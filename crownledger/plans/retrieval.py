@@ -62,7 +62,7 @@ def chunk_table(t):
 
 @query("chunk_position")
 def chunk_position(t):
-    chunks = R.chunk_semantic(t.elements(), 2000)
+    chunks = R.chunk_semantic(t.element_lists(), 2000)
     return chunks.select(
         "doc_uri",
         F.col("chunk_position").cast("bigint").alias("chunk_position"),
@@ -72,19 +72,17 @@ def chunk_position(t):
 
 @query("chunk_semantic")
 def chunk_semantic(t):
-    return R.chunk_semantic(t.elements())
+    return R.chunk_semantic(t.element_lists())
 
 
 @query("chunk_enrich")
 def chunk_enrich(t):
-    elements = t.elements()
-    return R.enrich(R.chunk_semantic(elements), R.document_titles(elements))
+    return R.chunk_enriched(t.element_lists())
 
 
 def _mixed(t):
     """Web pages with headings and plain documents without, chunked by whichever method fits."""
-    elements = t.elements().unionByName(t.texts())
-    return R.chunk(elements)
+    return R.chunk(t.element_lists().unionByName(t.text_lists()))
 
 
 @query("chunk_fallback")

@@ -127,3 +127,17 @@ def test_no_text_is_lost(spark):
         "entities": [("paragraph", "’éé<p>&lt; &nosuch; &#0; &#1114112; a&b x&")],
         "inline": [("paragraph", "a b c"), ("paragraph", "tail")],
     }
+
+
+def test_chunks_are_cut_without_a_shuffle(lake):
+    lists = lake.element_lists()
+    for out in (R.chunk_semantic(lists), R.chunk_enriched(lists), R.chunk(lists.unionByName(lake.text_lists()))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan and "hashpartitioning(doc_uri" not in plan
+
+
+def test_lists_and_rows_of_elements_give_the_same_chunks(lake):
+    for size in (50, 400, 3000):
+        a, b = R.chunk_semantic(lake.element_lists(), size), R.chunk_semantic(lake.elements(), size)
+        assert rows(a) == rows(b) and a.count() > 0
+    assert rows(R.enrich(R.chunk_semantic(lake.elements()), R.document_titles(lake.elements()))) == rows(R.chunk_enriched(lake.element_lists()))
