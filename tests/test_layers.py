@@ -160,6 +160,14 @@ def test_all_pairs_is_the_whole_product(spark):
     )
 
 
+def test_pairs_of_one_small_partition_are_made_by_many_tasks(spark):
+    left, right = spark.range(0, 3200, 1, 1).selectExpr("id AS l", "-id AS x"), spark.range(0, 5, 1, 1).toDF("r")
+    pairs = joins.all_pairs(left, "l", right, "r", ["x"]).withColumn("task", F.spark_partition_id())
+    sizes = [n for _, n in rows(pairs.groupBy("task").count())]
+    assert sum(sizes) == 16_000 and max(sizes) < 1_000
+    assert pairs.filter("l = -x").select("l", "r").distinct().count() == 16_000
+
+
 def test_set_compare_and_orphans(spark):
     a, b = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long"), spark.createDataFrame([(2,), (3,)], "k long")
     assert rows(joins.set_compare(a, b, "k")) == [(1, 1, 1)]
