@@ -55,6 +55,15 @@ def test_csv_round_trip(spark, lake, tmp_path):
         assert back.count() == df.count()
 
 
+def test_a_large_partition_is_written_to_several_files(spark, tmp_path, monkeypatch):
+    """Cells may hold line breaks, so one task reads a whole file."""
+    monkeypatch.setattr(files, "FILE_ROWS", 100)
+    df = spark.range(0, 1000, 1, 1).selectExpr("id", "concat('a\n', id) AS word")
+    path = files.export_csv({"w": df}, str(tmp_path))["w"]
+    assert len(list((tmp_path / "w.csv").glob("*.csv"))) == 10
+    assert rows(files.load_csv(spark, path, df.schema)) == rows(df)
+
+
 def test_from_file_and_documents(spark, tmp_path):
     put(tmp_path / "raw", "a.csv", "x\n1\n")
     put(tmp_path / "raw", "b.csv", "x\n2\n")
