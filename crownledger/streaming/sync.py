@@ -33,9 +33,14 @@ def bucket(doc_uri: str = "doc_uri", buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(doc_uri), F.lit(buckets)).cast("int")
 
 
+def by_bucket(rows: DataFrame) -> DataFrame:
+    """The rows with their ``bucket``, those of one bucket in one partition."""
+    return rows.withColumn("bucket", bucket()).repartition("bucket")
+
+
 def put(entries: DataFrame, folder: str) -> None:
-    """Write the entries of one batch, replacing what an earlier attempt left, one file per bucket."""
-    entries.withColumn("bucket", bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    """Write the entries of one batch, which lie by bucket, replacing what an earlier attempt left, one file per bucket."""
+    entries.write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
 
 def current_index(log: DataFrame) -> DataFrame:
@@ -58,22 +63,26 @@ def sync_batch(spark: SparkSession, batch: DataFrame, batch_id: int, index: str)
     Of rows that repeat a chunk of one version in a batch, that with the greatest text counts. ``op`` tells what the row did to
     the index before the batch: I for a new chunk, U for a changed text, K for a kept one, D for a deleted
     document. Only hashes of the batch's documents are read from the log, only from their buckets and only from earlier
-    batches, so that a repeated batch sees the same state again.
+    batches, so that a repeated batch sees the same state again. Texts are shuffled once, by bucket; what the index
+    held before goes with them.
     """
-    given = batch.groupBy("chunk_id", "doc_uri", "version").agg(F.max("chunk_to_embed").alias("chunk_to_embed"))
-    new = given.withColumn("content_hash", F.sha2("chunk_to_embed", 256))
-    own = [r["bucket"] for r in new.select(bucket().alias("bucket")).distinct().collect()]  # at most BUCKETS
+    keys = ["chunk_id", "doc_uri", "version"]
+    named = batch.select(*keys).distinct()
+    own = [r["bucket"] for r in named.select(bucket().alias("bucket")).distinct().collect()]  # at most BUCKETS
     log = change_log(spark, index).filter((F.col("batch") < batch_id) & F.col("bucket").isin(own))
-    touched = log.join(new.select("doc_uri").distinct(), "doc_uri", "left_semi")
-    before = current_index(touched).select("chunk_id", F.col("content_hash").alias("_before"))
+    touched = log.join(named.select("doc_uri").distinct(), "doc_uri", "left_semi").withColumn("chunk_to_embed", F.lit(None).cast("string"))
+    before = current_index(touched).select("chunk_id", F.struct(F.col("content_hash").alias("hash")).alias("_before"))
+    known = named.join(before, "chunk_id").withColumn("chunk_to_embed", F.lit(None).cast("string"))
+    both = by_bucket(batch.select(*keys, "chunk_to_embed").unionByName(known, allowMissingColumns=True))
+    given = both.groupBy("bucket", *keys).agg(F.max("chunk_to_embed").alias("chunk_to_embed"), F.collect_list("_before").alias("_before"))
+    new = given.withColumns({"content_hash": F.sha2("chunk_to_embed", 256), "_before": F.explode_outer("_before")})
     op = (
         F.when(F.col("chunk_id").isNull(), "D")
-        .when(F.col("_before").isNull(), "I")
-        .when(F.col("_before") != F.col("content_hash"), "U")
+        .when(F.col("_before.hash").isNull(), "I")
+        .when(F.col("_before.hash") != F.col("content_hash"), "U")
         .otherwise("K")
     )
-    entries = new.join(before, "chunk_id", "left").withColumn("op", op)
-    put(entries.select("chunk_id", "doc_uri", *ENTRY, "version"), f"{index}/batch={batch_id}")
+    put(new.select("chunk_id", "doc_uri", "content_hash", "chunk_to_embed", op.alias("op"), "version", "bucket"), f"{index}/batch={batch_id}")
 
 
 def compact(spark: SparkSession, index: str, target: str) -> None:
@@ -85,7 +94,7 @@ def compact(spark: SparkSession, index: str, target: str) -> None:
         F.lit(None).cast("string").alias("chunk_to_embed"), F.lit("D").alias("op"), "version",
     )
     live = current_index(log).withColumn("op", F.lit("K"))
-    put(live.select(*marks.columns).unionByName(marks), f"{target}/batch=-1")
+    put(by_bucket(live.select(*marks.columns).unionByName(marks)), f"{target}/batch=-1")
 
 
 def begin(spark: SparkSession, index: str) -> None:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from support import rows
 from pyspark.sql import functions as F
@@ -172,6 +174,24 @@ def test_index_sync_takes_documents_in_parts_and_deletions(spark, tmp_path):
     assert live() == [("c0", "b"), ("e0", "back")]
 
 
+def test_texts_of_a_batch_are_shuffled_once(spark, tmp_path, monkeypatch):
+    index, src = str(tmp_path / "index"), str(tmp_path / "src")
+    sync.begin(spark, index)
+    spark.createDataFrame([("c0", "d", "x", 1), ("c1", "d", "y", 1)], CHUNKS).write.parquet(src)
+    batch, put, plans = spark.read.parquet(src), sync.put, []
+    sync.sync_batch(spark, batch, 0, index)
+    monkeypatch.setattr(sync, "put", lambda entries, folder: plans.append(entries._jdf.queryExecution().executedPlan().toString()) or put(entries, folder))
+    sync.sync_batch(spark, batch.withColumn("version", F.lit(2).cast("long")), 1, index)
+    above, found = [], []
+    for line in plans[0].splitlines():
+        depth = re.search(r"[A-Za-z]", line).start() if re.search(r"[A-Za-z]", line) else 0
+        above = [x for x in above if x[0] < depth] + [(depth, line)]
+        if "FileScan" in line and "chunk_to_embed#" in line:
+            found.append(sum("Exchange" in x for _, x in above))
+    assert found == [1]
+    assert rows(sync.change_log(spark, index).filter("batch = 1"), "chunk_id", "op") == [("c0", "K"), ("c1", "K")]
+
+
 def test_a_batch_reads_only_the_buckets_of_its_documents(spark, tmp_path, monkeypatch):
     index = str(tmp_path / "index")
     sync.begin(spark, index)
