@@ -131,3 +131,10 @@ def test_statistics(spark):
     assert rows(A.set_diff(a, b, "x")) == [(1, "missing"), (3, "extra")]
     assert rows(A.top_n(df.dropna(), "k", ["v"], 1)) == [(2, "a")]
     assert rows(A.bounds(df, F.col("v"), "by", "k")) == [("a", 2, 1, 2), ("b", 1, None, None), (None, 1, 1, 1)]
+
+
+def test_lines_are_read_once_for_both_levels_of_a_running_total(lake):
+    scans = lambda df: sum("FileScan" in x and "l_orderkey#" in x for x in df._jdf.queryExecution().executedPlan().toString().splitlines())
+    lines = lake.adjudication_lines()
+    assert scans(lines) == 1  # the invoices' sums are not needed
+    assert scans(B.deductible_applied(lines)) == 0  # they were written out
