@@ -10,21 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crownledger.llm import decontam, mixing, quality, sharding, simhash
 from crownledger.llm.text import read
+from crownledger.session import small_batches
 from crownledger.sources.scratch import written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
+    small_batches(spark)
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    small_batches(spark)
     return simhash.dedup(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    small_batches(spark)
     return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -35,6 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the slot and shard that they belong to."""
+    small_batches(spark)
     return sharding.placed(docs)
 
 

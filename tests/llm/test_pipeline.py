@@ -11,6 +11,7 @@ from test_simhash import plain_likeness
 import __spark_entry__ as entry
 import corpus_pipeline as C
 from crownledger.llm import queries, sharding
+from crownledger.session import ARROW_BYTES, BATCH_BYTES
 from crownledger.sources.scratch import written
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,3 +78,14 @@ def test_queries_equal_their_sql(spark, name):
     at = [[d[0] for d in found.description].index(c) for c in df.columns]
     want = [tuple(r[i] for i in at) for r in found.fetchall()]
     assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
+
+
+def test_stages_bound_the_arrow_batches_and_keep_smaller_ones(spark, messy):
+    before = spark.conf.get(ARROW_BYTES)
+    try:
+        for given, wanted in (("64m", str(BATCH_BYTES)), ("67108864b", str(BATCH_BYTES)), ("1m", "1m")):
+            spark.conf.set(ARROW_BYTES, given)
+            C.good_quality(spark, messy, FOLDER)
+            assert spark.conf.get(ARROW_BYTES) in (wanted, f"{wanted}b")
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
