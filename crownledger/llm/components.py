@@ -4,7 +4,8 @@ Every round replaces the links of a node by links to its smallest neighbour (sma
 link up to the parent's smallest parent (large star). The number of rounds grows with the logarithm of the
 longest chain. Nodes and links stay in tables: a round is two shuffles of narrow rows, and its result
 is written to the shared checkpoint folder, so that lineage does not grow and a lost executor costs
-only its own tasks. A hub is never a shuffle key of a list: each node only keeps its minimum.
+only its own tasks. A hub is never a shuffle key of a list: each node only keeps its minimum. Links that are
+found later contract the roots that they connect, not all links anew.
 """
 
 from __future__ import annotations
@@ -39,3 +40,17 @@ def components(links: DataFrame) -> DataFrame:
         chained = edges.join(children.select(F.col("node").alias("up")), "up", "left_semi").select("node")
         if not chained.union(children.filter("ups > 1").select("node")).head(1):
             return edges.withColumnRenamed("up", "root")
+
+
+def rooted(rows: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with the root of each of the columns in its place; nodes without one are their own."""
+    for c in columns:
+        found = roots.select(F.col("node").alias(c), F.col("root").alias("__root"))
+        rows = rows.join(found, c, "left").withColumn(c, F.coalesce("__root", c)).drop("__root")
+    return rows
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of what ``roots``, a result of :func:`components`, and the new ``links`` (a, b) connect together."""
+    joined = components(rooted(links.select("a", "b"), roots, "a", "b"))
+    return written(rooted(roots, joined, "root").select("node", "root").union(joined.select("node", "root")))

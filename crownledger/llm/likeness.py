@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crownledger.llm.components import components
+from crownledger.llm.components import components, merged, rooted
 from crownledger.llm.text import as_bytes, schema
 from crownledger.sources.scratch import written
 
@@ -35,7 +35,7 @@ CELLS = 1 << 22  # counters of features in a task
 FREQUENT_CELLS = 1 << 18  # cells that are broadcast, at most
 BITMAP_BITS = (64, 1 << 14)  # of a text's bitmap, least and most
 SHARD_BYTES = 8 << 20  # of text, whose entries are one shuffle partition
-HELD = 1 << 18  # entries that a task holds before it sends them
+HELD = 1 << 17  # entries that a task holds before it sends them
 MORE_LEADERS = 8  # times as many leaders in each round
 ENTRY = np.dtype([("feature", "<u8"), ("text_id", "<i8"), ("n", "<u4"), ("at", "<u4")])
 
@@ -187,7 +187,7 @@ def shared_features(docs: DataFrame, text: str, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(part[c].astype(np.int64)) for c in names], names)
 
     emitted = rows.mapInArrow(emit, schema(shard="long", entries="binary"))
-    return emitted.repartition(shards, "shard").select("entries").mapInArrow(meet, schema(**dict.fromkeys(names, "long")))
+    return emitted.repartitionById(shards, F.col("shard").cast("int")).select("entries").mapInArrow(meet, schema(**dict.fromkeys(names, "long")))
 
 
 def possible(pairs: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
@@ -239,34 +239,25 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str, similarity: float) ->
     return both.select(*names, "text_a", "text_b").mapInArrow(run, schema(**dict.fromkeys(names, "long")))
 
 
-def rooted(rows: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
-    """``rows`` with the root of each of the columns in its place; nodes without one are their own."""
-    for c in columns:
-        found = roots.select(F.col("node").alias(c), F.col("root").alias("__root"))
-        rows = rows.join(found, c, "left").withColumn(c, F.coalesce("__root", c)).drop("__root")
-    return rows
-
-
-def alike_links(docs: DataFrame, found: DataFrame, distinct: DataFrame, text: str, similarity: float) -> DataFrame:
-    """Links (a, b) of fingerprints that connect all texts alike by ``similarity``, given the links ``found``.
+def alike_roots(docs: DataFrame, found: DataFrame, distinct: DataFrame, text: str, similarity: float) -> DataFrame:
+    """(node, root) of the fingerprints that the links ``found`` and all texts alike by ``similarity`` connect, as of :func:`components`.
 
     ``distinct``: (text_id, fp, bits) of all distinct texts. Texts without words are left to their common fingerprint.
     """
     roots = components(found)
-    shared = written(shared_features(docs, text, similarity).join(distinct.select("text_id", "fp"), "text_id"))
+    member = written(shared_features(docs, text, similarity).join(distinct.select("text_id", "fp"), "text_id"))
     bits = distinct.select("text_id", "bits")
     # the smaller of two alike texts has the first shared feature here
     heads = F.col("at") <= F.col("n") * (1 - 2 * similarity / (1 + similarity)) + 1e-6
-    links = found
     low, high = 0, 1
     tested: DataFrame | None = None
     while True:
-        member = rooted(shared.withColumn("root", F.col("fp")), roots, "root")
+        member = rooted(member.withColumn("root", F.col("fp")), roots, "root")
         counts = member.groupBy("feature").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count_if(heads).alias("heads"))
         still = counts.filter((F.col("least") != F.col("most")) & (F.col("heads") > low)).select("feature")
         member = written(member.join(still, "feature", "left_semi"))
         if not member.head(1):
-            return links
+            return roots
         first = Window.partitionBy("feature").orderBy(F.col("at"), F.col("text_id"))
         leaders = member.filter(heads).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= high).filter(F.col("rank") > low).drop("rank")
         a, b = (x.select("feature", *[F.col(c).alias(f"{c}_{end}") for c in ("text_id", "n", "at", "fp", "root")]) for x, end in ((member, "a"), (leaders, "b")))
@@ -285,12 +276,10 @@ def alike_links(docs: DataFrame, found: DataFrame, distinct: DataFrame, text: st
         # first every text against the leader that its bitmap is nearest to, then what is still apart
         nearest = written(passed.groupBy("a").agg(F.max_by(F.struct("b", "fp_a", "fp_b"), F.struct("share", "b")).alias("to")).select("a", "to.*"))
         alike = written(verified(nearest, docs, text, similarity)).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
-        links = links.union(alike)
-        roots = components(links)
+        roots = merged(roots, alike)
         rest = passed.join(nearest.select("a", "b"), ["a", "b"], "left_anti")
         rest = rooted(rest.withColumns({"root_a": F.col("fp_a"), "root_b": F.col("fp_b")}), roots, "root_a", "root_b")
         rest = written(rest.filter("root_a != root_b").select("a", "b", "fp_a", "fp_b"))
         if rest.head(1):
-            links = links.union(written(verified(rest, docs, text, similarity)).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
-            roots = components(links)
+            roots = merged(roots, written(verified(rest, docs, text, similarity)).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
         low, high = high, high * MORE_LEADERS

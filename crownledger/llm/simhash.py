@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownledger.llm.components import components
-from crownledger.llm.likeness import alike_links, bitmap, features
+from crownledger.llm.likeness import alike_roots, bitmap, features
 from crownledger.llm.text import as_bytes, kind_of, schema, whole_row
 from crownledger.sources.scratch import written
 
@@ -35,8 +35,10 @@ SEED = 42
 DEPTHS = (16, 32, 48)  # leading bits that are a shuffle key, at first and where too many would meet
 HOT_VARIANTS = 1 << 20  # more than these under one key are split
 HOT_KEYS = 1 << 17  # keys of one depth that are split, at most; they are broadcast
-SHARD_BYTES = 8 << 20  # of (key, fingerprint) entries in one shuffle partition
-CHUNK = 1 << 19  # variants that a task holds at once
+SHARD_BYTES = 4 << 20  # of (key, fingerprint) entries in one shuffle partition
+CHUNK = 1 << 18  # variants that a task holds at once, and those of one key
+SLICE = 1 << 14  # variants that are looked up at once
+EMITTED = 1 << 10  # fingerprints that are put under their keys at once
 SIMILARITY = 0.8  # of five-word shingles
 
 
@@ -108,28 +110,38 @@ def meetings(keys: np.ndarray, fps: np.ndarray, depth: int, half: int) -> tuple[
     rest = flips(0, 64 - depth, half)
     low = np.uint64((1 << (64 - depth)) - 1)
     used = np.bitwise_count((keys ^ fps) & ~low)
-    spheres = []  # owners, their flipped heads, masks for the rest
+    own, rank = np.unique(fps, return_inverse=True)  # a smaller rank is a smaller fingerprint
+    rank = rank.astype(np.uint32)
+    spheres = []  # ranks of owners, their flipped heads, masks for the rest; in slices, so that only the variants are ever held whole
     for spent in range(half + 1):
-        at = used == spent
+        at = np.flatnonzero(used == spent)
         base = (keys[at] & ~low) | (fps[at] & low)
-        spheres += [(fps[at], base, rest[n]) for n in range(half - spent + 1)]
-    variants = np.concatenate([(base[:, None] ^ masks[None, :]).ravel() for _, base, masks in spheres])
+        for masks in (rest[n] for n in range(half - spent + 1)):
+            step = max(1, SLICE // len(masks))
+            spheres += [(rank[at[i : i + step]], base[i : i + step], masks) for i in range(0, len(at), step)]
+    variants, filled = np.empty(sum(len(base) * len(masks) for _, base, masks in spheres), np.uint64), 0
+    for _, base, masks in spheres:
+        part = variants[filled : filled + len(base) * len(masks)]
+        np.bitwise_xor(base[:, None], masks[None, :], out=part.reshape(len(base), len(masks)))
+        filled += len(part)
     variants.sort()
     met = np.unique(variants[1:][variants[1:] == variants[:-1]])
+    del variants
     if not len(met):
         return met, met
-    found = []
+    least, found = np.full(len(met), len(own), np.uint32), []
     for owner, base, masks in spheres:  # made once more, so that owners need not be kept for all of them
         variant = (base[:, None] ^ masks[None, :]).ravel()
         at = np.minimum(np.searchsorted(met, variant), len(met) - 1)
         hit = np.flatnonzero(met[at] == variant)
-        found.append((at[hit], owner[hit // len(masks)]))
-    at, owner = (np.concatenate(x) for x in zip(*found, strict=True))
-    least = np.full(len(met), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, at, owner)
-    pairs = np.unique(np.stack((owner, least[at])), axis=1)
-    near = (pairs[0] != pairs[1]) & (np.bitwise_count(pairs[0] ^ pairs[1]) <= 2 * half)
-    return pairs[0][near], pairs[1][near]
+        at, owner = at[hit].astype(np.uint32), owner[hit // len(masks)]
+        np.minimum.at(least, at, owner)
+        found.append((at, owner))
+    n = np.uint64(len(own))
+    pairs = np.unique(np.concatenate([np.unique(owner * n + least[at]) for at, owner in found]))
+    a, b = own[pairs // n], own[pairs % n]
+    near = (a != b) & (np.bitwise_count(a ^ b) <= 2 * half)
+    return a[near], b[near]
 
 
 def keyed(own: np.ndarray, half: int, hot: dict[int, np.ndarray], upto: int = DEPTHS[-1]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -153,6 +165,14 @@ def keyed(own: np.ndarray, half: int, hot: dict[int, np.ndarray], upto: int = DE
             return
 
 
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each key. Keys differ in their leading bits, which are mixed into all others: any number of shards gets equal shares."""
+    mixed = keys
+    for _ in range(2):
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed ^ (mixed >> np.uint64(32))) % np.uint64(shards)
+
+
 def hot_keys(fps: DataFrame, half: int) -> dict[int, np.ndarray]:
     """The keys of each depth under which more than ``HOT_VARIANTS`` variants meet: counted over all fingerprints, and bounded in number."""
     hot: dict[int, np.ndarray] = {}
@@ -195,9 +215,9 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i in range(0, len(own), 4096):
-                for depth, key, fp in keyed(own[i : i + 4096], half, hot.value):
-                    shard = ((key | np.uint64(depth)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(shards)
+            for i in range(0, len(own), EMITTED):
+                for depth, key, fp in keyed(own[i : i + EMITTED], half, hot.value):
+                    shard = shard_of(key | np.uint64(depth), shards)
                     order = np.argsort(shard, kind="stable")
                     shard, entry = shard[order], np.stack((key | np.uint64(depth), fp), axis=1)[order]  # the key's low bits are free
                     found, begin = np.unique(shard, return_index=True)
@@ -207,6 +227,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.frombuffer(x.as_py(), np.uint64).reshape(-1, 2) for b in batches for x in b.column(0)]
         entries = np.concatenate(parts) if parts else np.empty((0, 2), np.uint64)
+        del parts
         tags = entries[:, 0] & np.uint64((1 << (64 - DEPTHS[-1])) - 1)
         for depth in DEPTHS:
             entry = entries[tags == depth]
@@ -224,7 +245,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     emitted = fps.select("fp").mapInArrow(emit, schema(shard="long", entries="binary"))
-    dealt = emitted.repartition(shards, "shard").select("entries")
+    dealt = emitted.repartitionById(shards, F.col("shard").cast("int")).select("entries")
     return dealt.mapInArrow(meet, schema(a="long", b="long"))
 
 
@@ -248,9 +269,10 @@ def near_duplicates(
     found = links(distinct, radius)
     if similarity:
         texts = written(marked.groupBy("text_id").agg(F.first("fp").alias("fp"), F.first("bits").alias("bits")))
-        found = alike_links(docs, written(found), texts, text, similarity)
-    roots = components(found).withColumnRenamed("node", "fp")
-    placed = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+        roots = alike_roots(docs, written(found), texts, text, similarity)
+    else:
+        roots = components(found)
+    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component"))
     grouped = written(placed.join(least, "root").select("fp", "component"))
     return marked.select("key", "fp").join(grouped, "fp").select("key", "fp", "component")

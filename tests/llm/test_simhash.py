@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -233,3 +234,50 @@ def test_copies_are_found_beside_an_unlike_text_of_the_same_words(spark):
             if alike[i][j] and group[i] != group[j]:
                 group = [group[i] if g == group[j] else g for g in group]
         assert len(kept) == len(set(group)) < len(texts)
+
+
+@pytest.mark.parametrize("partitions", ["12", "64"])
+def test_keys_are_dealt_evenly_to_any_number_of_partitions(spark, partitions):
+    """Keys have leading bits only; twelve partitions had them in three, sixty-four in one."""
+    rng = np.random.default_rng(4)
+    own = rng.integers(-(1 << 63), 1 << 63, 2000)
+    near = own ^ (1 << rng.integers(0, 60, 2000))
+    table = spark.createDataFrame([(int(x),) for x in [*own, *near]], "fp long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        used = simhash.links(table).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(used) == int(partitions)
+    assert max(r["count"] for r in used) <= 2 * sum(r["count"] for r in used) / len(used)
+
+
+def test_meetings_hold_little_more_than_the_variants():
+    rng = np.random.default_rng(5)
+    fps = np.full(900, 0x0123456789ABCDEF, np.uint64)
+    for _ in range(3):
+        fps ^= np.uint64(1) << rng.integers(0, 48, 900, dtype=np.uint64)
+    fps = np.unique(fps)
+    keys = fps & ~np.uint64((1 << 48) - 1)
+    tracemalloc.start()
+    a, b = simhash.meetings(keys, fps, 16, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(a) and (np.bitwise_count(a ^ b) <= 4).all() and (b < a).all()
+    assert peak < 4 * 8 * simhash.ball(48, 2) * len(fps)
+
+
+def test_new_links_contract_roots_only(spark, monkeypatch):
+    rng = random.Random(6)
+    first = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(150)]
+    later = [(rng.randrange(-300, 300), rng.randrange(-300, 400)) for _ in range(100)]
+    table = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    roots = components.components(table(first))
+    seen = []
+    monkeypatch.setattr(components, "components", lambda links, f=components.components: f(seen.append(links) or links))
+    got = sorted(tuple(r) for r in components.merged(roots, table(later)).collect())
+    assert got == sorted(tuple(r) for r in components.components(table(first + later)).collect())
+    children = {r.node for r in roots.collect()}
+    assert not children & {x for r in seen[0].collect() for x in r}
+    assert sorted(map(tuple, components.merged(roots, table(later).limit(0)).collect())) == sorted(map(tuple, roots.collect()))
