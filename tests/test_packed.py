@@ -11,7 +11,7 @@ from crownledger.sources import files
 from crownledger.sources.scratch import written
 from crownledger.streaming import ingest
 
-PACKED = ["copy_into"]
+PACKED = ["copy_into", "stream_silver"]
 
 
 class Packed(Exception):
