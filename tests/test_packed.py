@@ -11,7 +11,7 @@ from crownledger.sources import files
 from crownledger.sources.scratch import written
 from crownledger.streaming import ingest
 
-PACKED = ["copy_into", "stream_silver", "csv_export", "bulk_load", "load_csv_ctas", "stream_ingest"]
+PACKED = ["copy_into", "stream_silver", "csv_export", "bulk_load", "load_csv_ctas", "stream_ingest", "load_csv_infer"]
 
 
 class Packed(Exception):
