@@ -19,6 +19,18 @@ def _text_columns(name: str) -> str:
     return " + ".join(is_text(c) for c in columns_of(name))
 
 
+def _preview(name: str, n: int = 3) -> str:
+    """The first rows in the order of the columns, a line of cells each."""
+    columns = columns_of(name)
+    line = ", ".join(f"coalesce(cast({c} AS varchar), 'NULL')" for c in columns)
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return (
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM b_{name}) AS row_count, {len(columns)}::bigint AS column_count, "
+        f"count(*) AS sample_rows, coalesce(string_agg(line, chr(10) ORDER BY no), '') AS sample "
+        f"FROM (SELECT concat_ws(' | ', {line}) AS line, row_number() OVER (ORDER BY {order}) AS no FROM b_{name}) WHERE no <= {n}"
+    )
+
+
 SQL = {
     "load_csv_infer": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS row_count, {len(columns_of(n))}::bigint AS column_count, "
@@ -35,7 +47,7 @@ SQL = {
     "layer_ctas": "SELECT insurance_company_id, total_claims, true AS is_stamped, 'Gold: payer performance' AS comment FROM g_payer_performance",
     "csv_export": _each(TABLES, "count(*) AS row_count, 0::bigint AS different"),
     "csv_export_patients": edge("patients", "b_patients"),
-    "table_preview": _each(TABLES, "count(*) AS row_count, {w}::bigint AS column_count, least(3, count(*)) AS sample_rows"),
+    "table_preview": " UNION ALL ".join(_preview(n) for n in TABLES),
     "stream_ingest": _each(TABLES, "count(*) AS rows, 'loaded' AS status, 0::bigint AS rerun_rows"),
     "stream_schema_store": "SELECT CASE WHEN claim_id % 2 = 1 THEN is_denied END AS is_denied, count(*) AS n, 18::bigint AS stored_columns "
     "FROM s_claims_and_payments GROUP BY 1",
