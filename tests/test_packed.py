@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from support import rows
 
-from crownledger.plans import storage
+from crownledger.plans import registry, storage
 from crownledger.sources import files
 from crownledger.sources.scratch import written
 from crownledger.streaming import ingest
@@ -55,3 +55,12 @@ def test_a_write_leaves_no_shuffle_behind(spark, tmp_path):
     # the count of the rows that were read back has one of its own, of one row per task
     assert len({name.split("_")[1] for name in left}) <= 1
     assert df.count() == 100  # may be run again
+
+
+def test_the_report_leaves_no_shuffle_behind(spark, lake):
+    before = shuffles(spark)
+    report = registry.load_all()["dq_report"](lake)
+    until = time.time() + 10
+    while (left := shuffles(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and report.count() == 74
